@@ -11,12 +11,6 @@ from orderflow.session import Settle, unsettled
 OPERATIONS = ("I", "U", "D")
 
 
-def changed_only(table: DataFrame, net: DataFrame) -> DataFrame:
-    """Rows of changed orders. A small change set is broadcast to the table, so
-    that only its matches are shuffled later on."""
-    return table.join(net.select("salesorderid"), "salesorderid", "left_semi")
-
-
 def join_changes_header(net: DataFrame, header: DataFrame) -> DataFrame:
     """Every change with its header; a deleted order has none and keeps NULLs."""
     columns = header.select(
@@ -25,7 +19,7 @@ def join_changes_header(net: DataFrame, header: DataFrame) -> DataFrame:
         F.col("orderdate").alias("OrderDate"),
         F.col("modifieddate").alias("orderupdatedtm"),
     )
-    return net.join(changed_only(columns, net), "salesorderid", "left")
+    return net.join(columns, "salesorderid", "left")
 
 
 def join_changes_detail(changes: DataFrame, detail: DataFrame) -> DataFrame:
@@ -53,14 +47,14 @@ def capture_orders(
 ) -> DataFrame:
     """One row per line of each changed order, under the wire's names.
 
-    The address is looked up per order, before the fan-out: a quarter of the
-    rows, and deletes (no ship-to) never meet in one partition of NULL keys.
-    Product is looked up on lines that exist, for the same reason.
+    The address is looked up per header, before the fan-out: fewer rows, and
+    deletes (no ship-to) never meet in one partition of NULL keys. Product is
+    looked up on lines that exist, for the same reason.
     """
     postal = address.select(
         F.col("addressid").alias("shiptoaddressid"), F.col("postalcode").alias("PostalCode")
     )
-    headers = look_up(changed_only(header, net), postal, "shiptoaddressid")
+    headers = look_up(header, postal, "shiptoaddressid")
     changes = net.join(
         headers.select(
             "salesorderid",

@@ -23,8 +23,7 @@ def children_of(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
 def childless(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Parents no child points to. The children's keys become distinct
     map-side before they are shuffled, so a hot parent is one row per task."""
-    present = children.select(key).join(parents.select(key), key, "left_semi").distinct()
-    return parents.join(present, key, "left_anti")
+    return parents.join(children.select(key).distinct(), key, "left_anti")
 
 
 def fan_out(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

@@ -78,7 +78,8 @@ def _no_orders(t: SampleTables) -> DataFrame:
 
 
 def _after_first(t: SampleTables, settle) -> DataFrame:
-    return settle(merge.merge_orders(_no_orders(t), _source(t, FIRST, 1)), "orders_v1")
+    source = settle(_source(t, FIRST, 1), "source1")
+    return settle(merge.merge_orders(_no_orders(t), source), "orders_v1")
 
 
 def _settle(t: SampleTables):
@@ -254,7 +255,8 @@ def merge_orders_with_lines(t):
 def merge_ignores_stale(t):
     """Batch 2 first, then batch 1, which must not undo it."""
     settle = _settle(t)
-    newer = settle(merge.merge_orders(_no_orders(t), _source(t, SECOND, 2)), "orders_v2")
+    source = settle(_source(t, SECOND, 2), "source2")
+    newer = settle(merge.merge_orders(_no_orders(t), source), "orders_v2")
     return merge.merge_orders(newer, settle(_source(t, FIRST, 1), "source1"), settle)
 
 
@@ -272,14 +274,16 @@ def merge_both_batches(t):
 @_query
 def live_orders(t):
     settle = _settle(t)
-    merged = merge.merge_orders(_after_first(t, settle), _source(t, SECOND, 2), settle)
+    source = settle(_source(t, SECOND, 2), "source2")
+    merged = merge.merge_orders(_after_first(t, settle), source, settle)
     return summary.live_orders(merged)
 
 
 @_query
 def order_summary(t):
     settle = _settle(t)
-    merged = merge.merge_orders(_after_first(t, settle), _source(t, SECOND, 2), settle)
+    source = settle(_source(t, SECOND, 2), "source2")
+    merged = merge.merge_orders(_after_first(t, settle), source, settle)
     return summary.order_summary(merged)
 
 

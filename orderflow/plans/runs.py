@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderflow.operators.capture import capture_orders
 from orderflow.operators.changes import assert_version_valid, current_version, net_changes
@@ -52,9 +51,7 @@ def run_capture(
     work = f"{stage.root}/work/batch={batch_id}"
     settle = settle_into(work)
     net = settle(net_changes(tables.change_log, since, until), "net_changes")
-    low, high = net.agg(F.min("salesorderid"), F.max("salesorderid")).first()
-    if low is not None:
-        tables = tables.of_keys(low, high)
+    tables = tables.of_changes(net)
     captured = capture_orders(
         net, tables.header, tables.detail, tables.product, tables.address, batch_id, settle
     )

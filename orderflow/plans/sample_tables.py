@@ -17,13 +17,8 @@ FIRST = (0, 59)  # version range of batch 1: all inserts
 SECOND = (59, 1000)  # of batch 2: updates and deletes
 BEFORE_DELETES = 89  # every update done, no delete yet
 
-def _key() -> Column:
-    return F.col("o_orderkey")
-
-
-def _versions() -> dict[str, Column]:
+def _versions(key: Column) -> dict[str, Column]:
     """Per operation, the version at which it happens to an order, or NULL."""
-    key = _key()
     return {
         "I": (1 + key % 50).cast("bigint"),
         "U": F.when(key % 4 == 0, (60 + key % 20).cast("bigint")),
@@ -31,8 +26,12 @@ def _versions() -> dict[str, Column]:
     }
 
 
-def _done(op: str, until: int) -> Column:
-    return F.coalesce(_versions()[op] <= until, F.lit(False))
+def _done(op: str, key: Column, until: int) -> Column:
+    return F.coalesce(_versions(key)[op] <= until, F.lit(False))
+
+
+def _stands(key: Column, until: int) -> Column:
+    return _done("I", key, until) & ~_done("D", key, until)
 
 
 class SampleTables:
@@ -43,51 +42,52 @@ class SampleTables:
         return parquet_table(self.spark, self.sf_dir, name)
 
     def change_log(self) -> DataFrame:
+        key = F.col("o_orderkey")
         changes = F.array(
             *[
                 F.struct(version.alias("version"), F.lit(op).alias("op"))
-                for op, version in _versions().items()
+                for op, version in _versions(key).items()
             ]
         )
         return (
             self.table("orders")
-            .select(_key().alias("salesorderid"), F.explode(changes).alias("change"))
+            .select(key.alias("salesorderid"), F.explode(changes).alias("change"))
             .select("salesorderid", "change.version", "change.op")
             .where(F.col("version").isNotNull())
         )
 
     def header(self, until: int) -> DataFrame:
         """Orders standing at a version; an update moves the time by a day."""
-        updated = _done("U", until).cast("int")
-        shift = F.make_dt_interval(days=updated, hours=(_key() % 24).cast("int"))
+        key = F.col("o_orderkey")
+        shift = F.make_dt_interval(
+            days=_done("U", key, until).cast("int"), hours=(key % 24).cast("int")
+        )
         return (
             self.table("orders")
-            .where(_done("I", until) & ~_done("D", until))
+            .where(_stands(key, until))
             .select(
-                _key().alias("salesorderid"),
+                key.alias("salesorderid"),
                 F.col("o_custkey").alias("shiptoaddressid"),
                 F.col("o_orderdate").alias("orderdate"),
                 (F.col("o_orderdate") + shift).alias("modifieddate"),
-                updated.alias("upd"),
             )
         )
 
     def detail(self, until: int) -> DataFrame:
         """Lines of those orders; an update adds one to each quantity."""
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("salesorderid"),
-            F.col("l_partkey").alias("productid"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4)
-            .cast("decimal(18,4)")
-            .alias("linetotal"),
-        )
-        orders = self.header(until).select("salesorderid", "upd")
-        return children_of(orders, lines, "salesorderid").select(
-            "salesorderid",
-            "productid",
-            (F.col("quantity") + F.col("upd")).alias("orderqty"),
-            "linetotal",
+        key = F.col("l_orderkey")
+        price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+        return (
+            self.table("lineitem")
+            .where(_stands(key, until))
+            .select(
+                key.alias("salesorderid"),
+                F.col("l_partkey").alias("productid"),
+                (F.col("l_quantity").cast("int") + _done("U", key, until).cast("int")).alias(
+                    "orderqty"
+                ),
+                F.round(price, 4).cast("decimal(18,4)").alias("linetotal"),
+            )
         )
 
     def product(self) -> DataFrame:
@@ -105,7 +105,7 @@ class SampleTables:
         """All source tables as a capture finds them at a version."""
         return SourceTables(
             self.change_log().where(F.col("version") <= until),
-            self.header(until).drop("upd"),
+            self.header(until),
             self.detail(until),
             self.product(),
             self.address(),
@@ -134,7 +134,7 @@ class SampleTables:
 
     def nested_orders(self) -> DataFrame:
         headers = self.table("orders").select(
-            _key().alias("salesorderid"),
+            F.col("o_orderkey").alias("salesorderid"),
             F.col("o_custkey").alias("customerid"),
             F.col("o_orderdate").alias("orderdate"),
             F.col("o_totalprice").alias("subtotal"),

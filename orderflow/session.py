@@ -38,6 +38,8 @@ def local_session(cpus: str | int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Call sites for error messages cost several JVM round trips per column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +18,21 @@ class SourceTables:
     product: DataFrame
     address: DataFrame
 
-    def of_keys(self, lowest: int, highest: int) -> SourceTables:
-        """Header and detail within a key range. Changed orders are mostly
-        recent ones, and a range, other than a join, reaches the scan."""
-        inside = F.col("salesorderid").between(lowest, highest)
-        return SourceTables(
-            self.change_log,
-            self.header.where(inside),
-            self.detail.where(inside),
-            self.product,
-            self.address,
-        )
+    def of_changes(self, net: DataFrame) -> SourceTables:
+        """Header and detail of the changed orders only; ``net`` is a written
+        table, so its size is known. A small one is broadcast to the scans and
+        nothing else of the two tables is shuffled; a large one is joined by
+        order, which the joins that follow then find done. The key range on top
+        reaches the scan itself: changed orders are mostly recent ones. Runs a
+        job for the range."""
+        low, high = net.agg(F.min("salesorderid"), F.max("salesorderid")).first()
+        keys = net.select("salesorderid")
+
+        def changed(table: DataFrame) -> DataFrame:
+            inside = F.col("salesorderid").between(low, high) if low is not None else F.lit(False)
+            return table.where(inside).join(keys, "salesorderid", "left_semi")
+
+        return replace(self, header=changed(self.header), detail=changed(self.detail))
 
 
 def parquet_table(spark: SparkSession, directory: str, name: str) -> DataFrame:

@@ -36,7 +36,7 @@ QUERIES: dict[str, Query] = {}
 NOW = datetime(2025, 1, 1, 12, 0, 0)
 # Versions that exist: the last delete happens at 99.
 LAST_VERSION = 99
-ORDERS_PER_BUCKET = 4_000
+TABLE_BUCKETS = 16
 
 
 def _query(body: Callable[[SampleTables], DataFrame]) -> Query:
@@ -289,47 +289,46 @@ def order_summary(t):
 
 @_query
 def order_summary_first_load(t):
-    """From the change log to the summary, in one plan."""
-    return summary.order_summary(merge.merge_orders(_no_orders(t), _source(t, FIRST, 1)))
+    """From the change log to the summary."""
+    return summary.order_summary(_after_first(t, _settle(t)))
 
 
 # -- whole runs ---------------------------------------------------------------------
 
 
-def _two_captures(t, stage: Stage) -> None:
-    """Two capture runs, the source at the end of each version range."""
-    ledger_path = f"{stage.root}/ledger"
-    for until in (FIRST[1], LAST_VERSION):
-        runs.run_capture(t.spark, t.sources(until), ledger_path, stage, NOW)
+def _stage_and_table(t: SampleTables) -> tuple[str, Stage, OrdersTable]:
+    """Empty ones, the table cut into a fixed number of buckets."""
+    root = shared_dir(t.spark)
+    highest = t.table("orders").agg(F.max("o_orderkey")).first()[0]
+    table = OrdersTable(f"{root}/orders", orders_per_bucket=highest // TABLE_BUCKETS + 1)
+    return root, Stage(f"{root}/stage"), table
 
 
-@_query
-def load_run(t):
+def _capture_and_load(t: SampleTables, mode: str) -> DataFrame:
     """Capture, load, capture, load: through ledger, stage and table."""
-    root = shared_dir(t.spark)
-    stage, table = Stage(f"{root}/stage"), OrdersTable(f"{root}/orders", ORDERS_PER_BUCKET)
+    root, stage, table = _stage_and_table(t)
     for until in (FIRST[1], LAST_VERSION):
         runs.run_capture(t.spark, t.sources(until), f"{root}/ledger", stage, NOW)
-        runs.run_load(t.spark, stage, table)
+        runs.run_load(t.spark, stage, table, mode=mode)
     return table.read(t.spark)
 
 
+@_query
+def load_run(t):
+    return _capture_and_load(t, "repaired")
+
+
 @_query
 def load_run_reference(t):
-    root = shared_dir(t.spark)
-    stage, table = Stage(f"{root}/stage"), OrdersTable(f"{root}/orders", ORDERS_PER_BUCKET)
-    for until in (FIRST[1], LAST_VERSION):
-        runs.run_capture(t.spark, t.sources(until), f"{root}/ledger", stage, NOW)
-        runs.run_load(t.spark, stage, table, mode="reference")
-    return table.read(t.spark)
+    return _capture_and_load(t, "reference")
 
 
 @_query
 def load_stream(t):
     """Two captures, then the stream, one batch per micro-batch."""
-    root = shared_dir(t.spark)
-    stage, table = Stage(f"{root}/stage"), OrdersTable(f"{root}/orders", ORDERS_PER_BUCKET)
-    _two_captures(t, stage)
+    root, stage, table = _stage_and_table(t)
+    for until in (FIRST[1], LAST_VERSION):
+        runs.run_capture(t.spark, t.sources(until), f"{root}/ledger", stage, NOW)
     start_load_stream(
         t.spark, stage, table, f"{root}/checkpoint", batches_per_trigger=1
     ).awaitTermination()

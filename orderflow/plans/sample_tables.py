@@ -86,7 +86,7 @@ class SampleTables:
                 (F.col("l_quantity").cast("int") + _done("U", key, until).cast("int")).alias(
                     "orderqty"
                 ),
-                F.round(price, 4).cast("decimal(18,4)").alias("linetotal"),
+                price.cast("decimal(18,4)").alias("linetotal"),
             )
         )
 

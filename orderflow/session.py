@@ -21,11 +21,12 @@ def unsettled(df: DataFrame, name: str) -> DataFrame:
 
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings. Hot keys are split by the adaptive skew join, also
-    where that means one more shuffle behind the join; nothing is broadcast by
-    hint, only by Spark's own check of the size."""
+    where that means one more shuffle behind the join. An aggregate shuffles by
+    all of its keys, never by a part (the order) that may be hot."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     return spark
 
 

@@ -40,10 +40,11 @@ class Stage:
 
 def write_wire(captured: DataFrame, stage: Stage, batch_id: int) -> dict[str, int]:
     """Write a capture batch, then mark it ready. NULL fields are left out.
-    Returns the row counts, taken during the write."""
+    Returns the row counts, taken during the write. Few changes in a large table
+    come from many scan tasks; rebalancing makes files of even size of them."""
     counts = Observation(f"batch-{batch_id}")
     observed = observe_counts(captured, counts)
-    stringify_wire(observed).write.mode("overwrite").json(stage.batch_path(batch_id))
+    stringify_wire(observed).hint("rebalance").write.mode("overwrite").json(stage.batch_path(batch_id))
     found = counts.get
     captured.sparkSession.range(1).select(
         F.lit(batch_id).cast("bigint").alias("job_exec_id"),

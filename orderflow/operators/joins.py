@@ -3,6 +3,10 @@
 A left outer join can be split at a hot key only on its left side. So the side
 with many rows per key is always the left one here, and its hot partitions are
 split by the adaptive skew join; the right side has one row per key.
+
+The skew join needs a shuffle right below both sides of the join. A right side
+that was aggregated by the same key is already in place and gets none, so it is
+settled (written out, see ``session``) before it meets a side with hot keys.
 """
 
 from __future__ import annotations

@@ -103,23 +103,36 @@ def merge_into_table(source: DataFrame, table: str) -> None:
 # -- repaired mode ----------------------------------------------------------
 
 
-def order_verdicts(target: DataFrame, source: DataFrame) -> DataFrame:
-    """One row per order whose source rows apply: ``batch``, ``is_delete`` and
-    ``known`` (the target has rows of it). Orders of which the target already
-    has a later batch are left out."""
-    incoming = source.groupBy("salesorderid").agg(
+def _same_line(left: DataFrame, right: DataFrame) -> Column:
+    return (left["salesorderid"] == right["salesorderid"]) & left["productid"].eqNullSafe(
+        right["productid"]
+    )
+
+
+def incoming_orders(source: DataFrame) -> DataFrame:
+    """One row per order in the source: ``batch`` and ``is_delete``."""
+    return source.groupBy("salesorderid").agg(
         F.max("src_cdt_batch_id").alias("batch"),
         F.max(F.when(F.col("sys_change_op") == "D", 1).otherwise(0)).alias("is_delete"),
     )
-    standing = (
-        target.select("salesorderid", "src_cdt_batch_id")
-        .join(incoming.select("salesorderid"), "salesorderid", "left_semi")
-        .groupBy("salesorderid")
-        .agg(F.max("src_cdt_batch_id").alias("standing_batch"), F.lit(True).alias("known"))
+
+
+def standing_lines(target: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Keys and batches of the target's lines of incoming orders: three columns
+    of the target, the only scan of it beside the merge itself."""
+    lines = target.select("salesorderid", "productid", "src_cdt_batch_id")
+    return lines.join(incoming.select("salesorderid"), "salesorderid", "left_semi")
+
+
+def order_verdicts(standing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The incoming orders that apply, with ``known`` (the target has rows of
+    it). Orders of which the target already has a later batch are left out."""
+    per_order = standing.groupBy("salesorderid").agg(
+        F.max("src_cdt_batch_id").alias("standing_batch"), F.lit(True).alias("known")
     )
     stale = F.coalesce(F.col("batch") < F.col("standing_batch"), F.lit(False))
     return (
-        incoming.join(standing, "salesorderid", "left")
+        incoming.join(per_order, "salesorderid", "left")
         .where(~stale)
         .select(
             "salesorderid", "batch", "is_delete", F.coalesce("known", F.lit(False)).alias("known")
@@ -127,53 +140,69 @@ def order_verdicts(target: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
+def _deleted_lines(standing: DataFrame, deletes: DataFrame, with_lines: DataFrame) -> DataFrame:
+    """A change for every standing line of the deleted orders. The time changes
+    only where the delete came with that very line."""
+    lines = (
+        standing.join(deletes.select("salesorderid", "batch"), "salesorderid")
+        .select("salesorderid", "productid", F.col("batch").alias("src_cdt_batch_id"))
+        .distinct()
+    )
+    times = with_lines.select(
+        "salesorderid", "productid", "orderupdatedtm", F.lit(1).alias("sets_time")
+    )
+    return lines.join(times, _same_line(lines, times), "left").select(
+        lines["*"], "orderupdatedtm", "sets_time", F.lit(1).alias("is_delete")
+    )
+
+
 def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettled) -> DataFrame:
-    """The whole target after the merge."""
-    verdicts = settle(order_verdicts(target, source), "verdicts")
+    """The whole target after the merge.
+
+    Deletes are turned into changes per line first, so that the target itself
+    is joined once, on (order, product)."""
+    incoming = settle(incoming_orders(source), "incoming")
+    standing = settle(standing_lines(target, incoming), "standing")
+    verdicts = settle(order_verdicts(standing, incoming), "verdicts")
     deletes = verdicts.where(F.col("is_delete") == 1)
 
-    applied = source.join(
-        verdicts.select("salesorderid", "is_delete"), "salesorderid"
-    )
+    applied = source.join(verdicts.select("salesorderid", "is_delete"), "salesorderid")
     upserts = applied.where(F.col("is_delete") == 0)
-    # A delete that still has its lines updates the time of those it matches.
-    lines = applied.where((F.col("is_delete") == 0) | F.col("productid").isNotNull())
-    same_line = (F.col("salesorderid") == F.col("b_salesorderid")) & F.col("productid").eqNullSafe(
+    with_lines = applied.where((F.col("is_delete") == 1) & F.col("productid").isNotNull())
+    changes = upserts.withColumn("sets_time", F.lit(1)).unionByName(
+        _deleted_lines(standing, deletes, with_lines), allowMissingColumns=True
+    )
+
+    b = _as_source(changes)
+    on_line = (F.col("salesorderid") == F.col("b_salesorderid")) & F.col("productid").eqNullSafe(
         F.col("b_productid")
     )
-    gone = deletes.select("salesorderid", F.col("batch").alias("delete_batch"))
-    joined = target.join(gone, "salesorderid", "left").join(
-        _as_source(lines), same_line, "left"
+    hit, upsert = F.col("b_hit").isNotNull(), F.col("b_is_delete") == 0
+    new = {name: F.when(upsert, F.col(f"b_{name}")).otherwise(F.col(name)) for name in VALUES}
+    new["orderupdatedtm"] = F.when(
+        F.col("b_sets_time") == 1, F.col("b_orderupdatedtm")
+    ).otherwise(F.col("orderupdatedtm"))
+    new["src_cdt_batch_id"] = F.when(hit, F.col("b_src_cdt_batch_id")).otherwise(
+        F.col("src_cdt_batch_id")
     )
-
-    hit, deleted = F.col("b_hit").isNotNull(), F.col("delete_batch").isNotNull()
-    new = {
-        name: F.when(hit & ~deleted, F.col(f"b_{name}")).otherwise(F.col(name)) for name in VALUES
-    }
-    new["orderupdatedtm"] = F.when(hit, F.col("b_orderupdatedtm")).otherwise(F.col("orderupdatedtm"))
-    new["src_cdt_batch_id"] = F.coalesce(
-        F.col("delete_batch"), F.col("b_src_cdt_batch_id"), F.col("src_cdt_batch_id")
+    new["deleted_flg"] = F.coalesce("b_is_delete", "deleted_flg")
+    kept = target.join(b, on_line, "left").select(
+        [new.get(name, F.col(name)).alias(name) for name in ORDERS.names]
     )
-    new["deleted_flg"] = F.when(deleted, 1).when(hit, 0).otherwise(F.col("deleted_flg"))
-    kept = joined.select([new.get(name, F.col(name)).alias(name) for name in ORDERS.names])
 
-    target_keys = target.select("salesorderid", "productid")
-    on_key = (upserts.salesorderid == target_keys.salesorderid) & upserts.productid.eqNullSafe(
-        target_keys.productid
-    )
-    inserted = _inserted(upserts.join(target_keys, on_key, "left_anti"), 0)
+    known = standing.select("salesorderid", "productid")
+    inserted = _inserted(upserts.join(known, _same_line(upserts, known), "left_anti"), 0)
     return kept.unionByName(inserted).unionByName(tombstones(deletes))
 
 
 def tombstones(deletes: DataFrame) -> DataFrame:
     """One flagged row per deleted order the target has never seen, so that an
     older batch that comes later is known to be stale."""
-    values = {"salesorderid": F.col("salesorderid"), "src_cdt_batch_id": F.col("batch")}
+    values = {
+        "salesorderid": F.col("salesorderid"),
+        "src_cdt_batch_id": F.col("batch"),
+        "deleted_flg": F.lit(1),
+    }
     return deletes.where(~F.col("known")).select(
-        *[
-            values.get(f.name, F.lit(1 if f.name == "deleted_flg" else None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in ORDERS
-        ]
+        [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDERS]
     )

@@ -53,7 +53,7 @@ def _captured(t: SampleTables, span: tuple[int, int], batch_id: int, state: int
     state = until if state is None else state
     net = changes.net_changes(t.change_log(), since, until)
     return capture.capture_orders(
-        net, t.header(state), t.detail(state), t.product(), t.address(), batch_id
+        net, t.header(state), t.detail(state), t.product(), t.address(), batch_id, _settle(t)
     )
 
 
@@ -129,7 +129,7 @@ def join_changes_header(t):
 
 @_query
 def join_changes_detail(t):
-    net = changes.net_changes(t.change_log(), *SECOND)
+    net = _settle(t)(changes.net_changes(t.change_log(), *SECOND), "net_changes")
     lines = capture.join_changes_detail(net, t.detail(SECOND[1]))
     return lines.withColumn("productsales", F.col("productsales").cast("double"))
 

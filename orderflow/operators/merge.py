@@ -20,6 +20,7 @@ from orderflow.operators.staging import merge_conflicts
 from orderflow.schemas import ORDERS
 from orderflow.session import Settle, unsettled
 
+LINE = ["salesorderid", "productid"]
 # Taken over from the source unless it is a delete.
 VALUES = ("orderdate", "productname", "postalcode", "productorderqty", "productsales")
 
@@ -63,9 +64,11 @@ def merge_matched(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def merge_unmatched(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Source rows no target row matches, as live rows whatever their operation."""
-    keys = target.where(F.col("productid").isNotNull()).select("salesorderid", "productid")
-    return _inserted(source.join(keys, ["salesorderid", "productid"], "left_anti"), 0)
+    """Source rows no target row matches, as live rows whatever their operation.
+    The target's keys are first cut down to those in the source: there a small
+    source can be broadcast, in the anti join it could not."""
+    keys = target.select(LINE).join(source.select(LINE), LINE, "left_semi")
+    return _inserted(source.join(keys, LINE, "left_anti"), 0)
 
 
 def merge_orders_reference(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -77,9 +80,8 @@ def merge_orders_reference(target: DataFrame, source: DataFrame) -> DataFrame:
 
 def assert_mergeable(target: DataFrame, source: DataFrame) -> None:
     """Fail, as a MERGE does, if a target row has several source rows. Runs a job."""
-    keys = target.select("salesorderid", "productid")
-    twice = merge_conflicts(source).join(keys, ["salesorderid", "productid"], "left_semi")
-    sample = twice.take(3)
+    twice = merge_conflicts(source).select(LINE)
+    sample = target.select(LINE).join(twice, LINE, "left_semi").take(3)
     if sample:
         raise ValueError(f"several source rows for one target row, e.g. {sample}")
 
@@ -167,11 +169,15 @@ def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettle
     deletes = verdicts.where(F.col("is_delete") == 1)
 
     applied = source.join(verdicts.select("salesorderid", "is_delete"), "salesorderid")
-    upserts = applied.where(F.col("is_delete") == 0)
     with_lines = applied.where((F.col("is_delete") == 1) & F.col("productid").isNotNull())
-    changes = upserts.withColumn("sets_time", F.lit(1)).unionByName(
-        _deleted_lines(standing, deletes, with_lines), allowMissingColumns=True
+    changes = (
+        applied.where(F.col("is_delete") == 0)
+        .withColumn("sets_time", F.lit(1))
+        .unionByName(_deleted_lines(standing, deletes, with_lines), allowMissingColumns=True)
     )
+    # Written before it meets the target: the size of a join is not known
+    # beforehand, and the whole target would be shuffled for a few changes.
+    changes = settle(changes, "changes")
 
     b = _as_source(changes)
     on_line = (F.col("salesorderid") == F.col("b_salesorderid")) & F.col("productid").eqNullSafe(
@@ -190,7 +196,7 @@ def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettle
         [new.get(name, F.col(name)).alias(name) for name in ORDERS.names]
     )
 
-    known = standing.select("salesorderid", "productid")
+    upserts, known = changes.where(F.col("is_delete") == 0), standing.select(LINE)
     inserted = _inserted(upserts.join(known, _same_line(upserts, known), "left_anti"), 0)
     return kept.unionByName(inserted).unionByName(tombstones(deletes))
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from orderflow.operators import changes, merge, summary
 from orderflow.plans.sample_tables import SampleTables
 from orderflow.schemas import ORDERS
+from orderflow.session import settle_into
 from orderflow.sources.tables import SourceTables
 from tests.conftest import SF_SMALL
 from tests.rows import order_row, orders, source, source_row
@@ -57,14 +59,41 @@ def test_no_changes_no_rows(spark):
     assert tables.header.count() == 0
 
 
-def test_small_batch_shuffles_nothing_of_the_target(spark, table, tmp_path):
-    """Only the verdicts' one row per order is shuffled."""
-    path = str(tmp_path / "source")
-    source(spark, source_row(1, 5, 2, "U")).write.parquet(path)
-    batch = spark.read.parquet(path)
-    merged = merge.merge_orders_reference(table, batch)
-    assert "Exchange hashpartitioning" not in plan(merged)
-    assert "BroadcastHashJoin" in plan(merged)
+def test_small_batch_shuffles_nothing_of_a_large_target(spark, tmp_path, conf):
+    """Joins of the target broadcast the batch; what is shuffled is matches."""
+    conf(spark__sql__autoBroadcastJoinThreshold="20KB")
+    written = settle_into(str(tmp_path))
+    n = spark.range(50_000).selectExpr("id as n")
+    large = written(
+        n.select(
+            [
+                {"salesorderid": F.col("n"), "productid": F.hash("n")}
+                .get(f.name, F.lit(1 if f.name == "src_cdt_batch_id" else None))
+                .cast(f.dataType)
+                .alias(f.name)
+                for f in ORDERS
+            ]
+        ),
+        "target",
+    )
+    batch = written(source(spark, source_row(1, 5, 2, "U"), source_row(2, None, 2, "D")), "batch")
+    steps = []
+
+    def settle(df, name):
+        steps.append(plan(df))
+        return written(df, name)
+
+    for merged in (
+        merge.merge_orders_reference(large, batch),
+        merge.merge_orders(large, batch, settle),
+    ):
+        text = plan(merged)
+        kept = text[: text.index("LeftOuter") + 9]
+        assert "BroadcastHashJoin" in kept and "SortMergeJoin" not in kept
+        steps.append(text)
+    assert "BroadcastHashJoin [salesorderid" in steps[1] and "LeftSemi" in steps[1]
+    semi = re.search(r"(\w+) \[salesorderid[^\n]*LeftSemi", steps[-2])
+    assert semi.group(1) == "BroadcastHashJoin"
 
 
 EAGER = re.compile("load_run|load_stream")

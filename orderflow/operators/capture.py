@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderflow.operators.joins import childless, children_of, fan_out, look_up
-from orderflow.session import Settle, unsettled
+from orderflow.session import Settle, fits_broadcast, unsettled
 
 OPERATIONS = ("I", "U", "D")
 
@@ -54,7 +54,9 @@ def capture_orders(
     postal = address.select(
         F.col("addressid").alias("shiptoaddressid"), F.col("postalcode").alias("PostalCode")
     )
-    headers = look_up(header, postal, "shiptoaddressid")
+    if not fits_broadcast(postal):
+        header = settle(header, "changed_headers")
+    headers = look_up(header, postal, "shiptoaddressid", settle, "addresses")
     changes = net.join(
         headers.select(
             "salesorderid",
@@ -69,9 +71,10 @@ def capture_orders(
     names = product.select(
         F.col("productid").alias("ProductID"), F.col("name").alias("productname")
     )
-    lines = wire_lines(detail)
-    matched = look_up(children_of(changes, lines, "salesorderid"), names, "ProductID")
+    lines = children_of(changes, wire_lines(detail), "salesorderid")
+    lines = settle(lines, "changed_lines")  # the only scan of the detail table
     lineless = childless(changes, lines, "salesorderid")
+    matched = look_up(lines, names, "ProductID", settle, "products")
     return matched.unionByName(lineless, allowMissingColumns=True).select(
         "salesorderid",
         "sys_change_op",

@@ -13,9 +13,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-
-def look_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left outer join of many rows to a table with a unique key."""
+from orderflow.session import Settle, fits_broadcast, unsettled
+
+
+def look_up(
+    rows: DataFrame, table: DataFrame, key: str, settle: Settle = unsettled, name: str = "found"
+) -> DataFrame:
+    """Left outer join of many rows to a table with a unique key. Of a table too
+    large to broadcast, the rows asked for are picked and settled first, so that
+    few rows do not make the whole table shuffle."""
+    if settle is not unsettled and not fits_broadcast(table):
+        asked = rows.select(key).distinct()
+        table = settle(table.join(asked, key, "left_semi"), name)
     return rows.join(table, key, "left")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, contamination, mixing, neardup, pii, quality, tokens, warc
+from orderflow.llm import chat, contamination, lmscore, mixing, neardup, pii, quality, repeats, tokens, warc
 from orderflow.llm.shared import table
 from orderflow.session import shared_dir
 
@@ -16,6 +16,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.token_index(docs, f"{shared_dir(spark)}/tokens", tokenizer())
@@ -27,6 +31,11 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(slim)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     hard = spark.range(1).select(
@@ -65,4 +74,18 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_tokens, op3_mix, op5_chat, op6_pii, op7_near, op8_quality, op9_warc, op10_leaks)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_lmscore,
+        op2_tokens,
+        op3_mix,
+        op4_repeats,
+        op5_chat,
+        op6_pii,
+        op7_near,
+        op8_quality,
+        op9_warc,
+        op10_leaks,
+    )
+}

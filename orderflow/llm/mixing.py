@@ -109,7 +109,8 @@ def source_specs(docs: DataFrame, weights=WEIGHTS, max_repeats=MAX_REPEATS) -> D
     a cut in hash order. The cut is found by running sums over groups of
     blocks, then the blocks of one group, then the documents of one block, so
     no task sees a whole source."""
-    slim = _in_order(docs).select("doc_id", SOURCE, SIZE, HASH)
+    # Sizes are counted once here, from the texts.
+    slim = settle(_in_order(docs).select("doc_id", SOURCE, SIZE, HASH), "slim")
     totals = slim.groupBy(F.col(SOURCE).alias("source")).agg(F.sum(SIZE).alias("source_size"))
     spec = (
         targets(totals, weights, max_repeats)

@@ -87,7 +87,7 @@ def fold(events: DataFrame) -> DataFrame:
             "conv_id",
             "message",
             F.coalesce(
-                F.element_at(F.filter(F.col("log.role"), lambda r: r.isNotNull()), 1), F.lit("")
+                F.get(F.filter(F.col("log.role"), lambda r: r.isNotNull()), F.lit(0)), F.lit("")
             ).alias("role"),
             F.array_join(F.transform(rest, lambda e: e["text"]), "").alias("text"),
         )

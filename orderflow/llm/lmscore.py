@@ -461,7 +461,8 @@ def scores(docs: DataFrame) -> DataFrame:
     total, distinct = sum(r.total for r in small), sum(r.distinct for r in small)
     spelled = np.sum([r.bytes for r in small] or [[0] * 256], axis=0)
     above = np.cumsum(np.sum([r.histogram for r in small] or [[0] * 64 * BUCKETS], axis=0)[::-1])[::-1]
-    least = int(np.flatnonzero(above <= DICTIONARY)[0])
+    # Words seen once are spelled, so that the model learns how new words come.
+    least = max(int(np.flatnonzero(above <= DICTIONARY)[0]), int(bucket(np.array([2]))[0]))
 
     def frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():

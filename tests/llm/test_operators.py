@@ -1,0 +1,328 @@
+"""Each operator against a plain version, over whole small tables and hard rows."""
+
+from __future__ import annotations
+
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from orderflow.llm import lmscore, mixing, neardup, pii, quality, repeats, tokens
+from orderflow.llm.contamination import contaminated, decontaminate, normal, question_answer, runs
+from orderflow.llm.queries import tokenizer
+from orderflow.session import shared_dir
+from tests.llm import brute
+from tests.llm.conftest import pairs, same_rows
+
+
+@pytest.fixture(params=["documents", "hard"])
+def docs(request):
+    return request.getfixturevalue(request.param)
+
+
+# 1
+def test_scores(docs):
+    rows = lmscore.scores(docs).collect()
+    got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows]
+    same_rows(got, [(*r[:5], round(r[5], 5)) for r in brute.unigram(pairs(docs))])
+    assert all(r.score < 0 for r in rows)
+
+
+def test_model_beats_unigrams_on_held_out_documents(documents):
+    rows = [r for r in lmscore.scores(documents).collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_huffman_decisions_are_a_prefix_code():
+    import numpy as np
+
+    code = lmscore.Code(np.array([5, 1, 1, 20, 3, 3, 9]))
+    words = set()
+    for s in range(7):
+        part = slice(int(code.start[s]), int(code.start[s] + code.length[s]))
+        assert code.node[part][0] == code.nodes - 1  # from the root
+        words.add("".join(map(str, code.bit[part])))
+    assert len(words) == 7 and sum(2.0 ** -len(w) for w in words) == 1
+    assert not any(a != b and b.startswith(a) for a in words for b in words)
+
+
+def test_symbol_probabilities_sum_to_one():
+    """What a decision's two bits are given adds up, whatever came before."""
+    import numpy as np
+
+    coder = lmscore.Coder(np.empty(0, np.uint64), np.ones(258, np.int64))
+    model = lmscore.Model(coder, [])
+    model.weights[:] = 0.3
+    texts = [np.array([s, lmscore.END_TEXT]) for s in range(258)]
+    one = 2.0 ** np.array(model.log2(texts))
+    end = 2.0 ** np.array([model.log2([np.array([lmscore.END_TEXT])])[0]])
+    assert abs(one.sum() - end.sum()) < 1e-3  # every symbol once, then the end
+
+
+# 2
+def test_token_files(spark, docs):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer())
+    whole.encode_special_tokens = True
+    expected = []
+    for d, t in pairs(docs):
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 0]
+        expected.append((d, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+    rows = tokens.token_index(docs, f"{shared_dir(spark)}/tokens", tokenizer()).orderBy("start").collect()
+    same_rows([(r.doc_id, r.n_tokens, r.ids_crc32) for r in rows], expected)
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
+    ids = [r.doc_id for r in rows if r.doc_id is not None]
+    assert ids == sorted(ids)
+
+
+_encoder = tokens.encoder(tokenizer())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.one_of(st.sampled_from(" \n\t\r 　.,'s1é<|endoftext>ab"), st.characters(codec="utf-8")), max_size=30))
+def test_remembered_parts_encode_as_whole_texts(text):
+    from tokenizers import Tokenizer
+
+    global _whole
+    if "_whole" not in globals():
+        _whole = Tokenizer.from_file(tokenizer())
+        _whole.encode_special_tokens = True
+    assert _whole.encode(text, add_special_tokens=False).ids == _encoder(text).tolist()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(0, 300)), max_size=700), st.floats(0.01, 1))
+def test_blocks_round_trip(ids, share):
+    import numpy as np
+
+    ids = np.array(ids, np.uint32)
+    assert tokens.unpack(*tokens.pack(ids, share), len(ids)).tolist() == ids.tolist()
+
+
+# 3
+def _expected_targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        open_ = [s for s in names if s not in capped]
+        left = total - sum(3 * sizes[s] for s in capped)
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 3 * sizes[s] + 1e-9}
+        if not over:
+            return {s: share.get(s, 3 * sizes[s]) for s in names}
+        capped |= over
+
+
+def test_mix(docs):
+    rows = mixing.digests(mixing.sized(docs)).collect()
+    sizes, largest = {}, {}
+    for r in docs.select("source", "text").collect():
+        n = len(brute.words(r.text))
+        sizes[r.source] = sizes.get(r.source, 0) + n
+        largest[r.source] = max(n, largest.get(r.source, 0))
+    expected = _expected_targets(sizes)
+    source = {(r.doc_id, len(brute.words(r.text))): r.source for r in docs.collect()}
+    taken = dict.fromkeys(sizes, 0)
+    for r in rows:
+        assert r.taken <= 3 * r["size"]
+        own = source[r.doc_id, r["size"]]
+        if [s for k, s in source.items() if k == (r.doc_id, r["size"])] == [own]:
+            assert r.target == pytest.approx(expected[own]) and r.source_size == sizes[own]
+        taken[own] += r.taken
+    assert len(rows) == docs.count()
+    for s, target in expected.items():
+        assert abs(taken[s] - target) <= largest[s]
+
+
+def test_mix_agrees_with_itself_and_shares_out_blocks_once(documents):
+    first, again = (mixing.mix(mixing.sized(documents), shard_words=20_000).drop("text") for _ in range(2))
+    a, b = first.collect(), again.collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    shards = {r["__mix_shard"] for r in a}
+    assert len(shards) == 4
+    for s in shards:
+        places = sorted(r["__mix_position"] for r in a if r["__mix_shard"] == s)
+        assert places == list(range(1, len(places) + 1))
+
+
+# 4
+def test_repeats(docs):
+    rows = repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)).collect()
+    same_rows([(r.doc_id, r.n_words, r.n_removed, r.sha) for r in rows], brute.repeats(pairs(docs)))
+
+
+def test_wide_automata_find_what_narrow_ones_do(monkeypatch):
+    words = [f"w{k}".encode() for k in range(40)]
+    phrases = [(words[k : k + 13], k) for k in range(20)]
+    monkeypatch.setattr(repeats, "PHRASES", 7)
+    plain = repeats.Automata(phrases).covered(10, words * 2)
+    monkeypatch.setattr(repeats, "WORDS_BOUND", 5)
+    assert repeats.Automata(phrases).wide
+    assert plain.tolist() == repeats.Automata(phrases).covered(10, words * 2).tolist()
+    assert plain[:22].all() and not plain[22:40].any()
+
+
+# 6
+def test_base_spans(docs):
+    found = pii.personal_data(docs).select("doc_id", "base", "spans").collect()
+    got = [(r.doc_id, str([tuple(s) for s in r.base])) for r in found]
+    same_rows(got, [(d, str(brute.pii(t))) for d, t in pairs(docs)])
+    assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in found)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("0123456789.+-() @ab_%"), max_size=60))
+def test_spans_of_any_text(text):
+    assert pii.base_spans(text) == brute.pii(text)
+
+
+def test_unseen_identifiers_in_known_contexts(spark):
+    rows = [(k, f"please write to user{k}@mail.example.com for more") for k in range(30)]
+    rows += [(100, "please write to user77[at]mail7 for more"), (101, "chapter 12 of 1999 was long")]
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(s) for s in found[100]] == [(16, 0, 31)]
+    assert found[101] == [] and len(found[3]) == 1
+
+
+def test_long_tokens_take_linear_time():
+    text = "a" * 300_000 + "@" + "1" * 300_000 + "@" + "+" * 1000
+    assert pii.base_spans(text) == []
+
+
+# 7
+def test_near(docs):
+    got = neardup.join(docs).select("doc_id", "copy_of", "n_links", "class_id").collect()
+    same_rows(got, brute.near(pairs(docs)))
+
+
+def test_near_in_one_large_group(spark):
+    """More near copies than a tile holds: all links are counted, none twice."""
+    words = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join([*words[: k % 3], f"x{k}", *words[k % 3 :]])) for k in range(600)]
+    got = neardup.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same_rows(got, brute.near(rows))
+
+
+# 8
+def test_quality_counts(docs):
+    rows = quality.judged(docs).collect()
+    got = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows]
+    same_rows(got, [(d, *brute.quality_counts(t)) for d, t in pairs(docs)])
+    for r in rows:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def test_sound_keeps_what_is_judged_sound(documents):
+    kept = {r.doc_id for r in quality.judged(documents).where("kept").collect()}
+    got = quality.sound(documents)
+    assert got.columns == documents.columns and {r.doc_id for r in got.collect()} == kept
+
+
+def test_bigram_probabilities_are_those_of_modified_kneser_ney(spark):
+    """Unpruned, against counts in dictionaries; they sum to one over all words."""
+    from collections import Counter
+
+    import numpy as np
+
+    from orderflow.llm.shared import word_hashes
+
+    texts = ["a b a c a b", "b a b", "c a b d e", "a a b", "e d c b a", "x y a b", "x y"]
+    model = quality.fit(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    pairs_ = Counter()
+    for t in texts:
+        w = ["<e>", *t.split(), "<e>"]
+        pairs_.update(zip(w, w[1:], strict=False))
+    follow = Counter(b for _, b in pairs_)
+
+    def discounts(counts):
+        n = [max(1, sum(c == k for c in counts.values())) for k in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [0.0, *(min(max(k + 1 - (k + 2) * y * n[k + 1] / n[k], 0.05), k + 0.95) for k in range(3))]
+
+    d2, d1 = discounts(pairs_), discounts(follow)
+    total = sum(follow.values())
+    left = sum(d1[min(c, 3)] for c in follow.values()) / total
+    low = {w: (c - d1[min(c, 3)]) / total + left / (len(follow) + 1) for w, c in follow.items()}
+    code = lambda w: np.array([quality.EDGE]) if w == "<e>" else word_hashes([w.encode()])
+    for a in {a for a, _ in pairs_}:
+        own = {b: c for (x, b), c in pairs_.items() if x == a}
+        n = sum(own.values())
+        back = sum(d2[min(c, 3)] for c in own.values()) / n
+        for b in follow:
+            c = own.get(b, 0)
+            expected = (c - d2[min(c, 3)]) / n + back * low[b]
+            assert model.probabilities(code(a), code(b))[0] == pytest.approx(expected, rel=1e-4)
+
+
+# 10
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+
+
+def test_leaks(documents, benchmark):
+    """Everything that shares enough word runs with an item is retrieved by BM25."""
+    items = {r.item_id: question_answer(r.text.encode()) for r in benchmark.collect()}
+    expected = set()
+    for d, t in pairs(documents):
+        have = runs(normal((t or "").encode().split()))
+        for i, parts in items.items():
+            shares = [len(runs(p) & have) / len(runs(p)) for p in parts if p]
+            if min(shares) >= 0.6:
+                expected.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).collect()}
+    assert expected and got == expected
+
+
+def test_leaks_with_edits_and_in_long_texts(spark, benchmark):
+    text = max((r.text for r in benchmark.collect()), key=len)
+    words = text.split()
+    far = " ".join([*(f"q{k}" for k in range(40_000)), *words, *(f"r{k}" for k in range(5000))])
+    edited = " ".join([w.upper() if k % 5 else w + "," for k, w in enumerate(words)])
+    rows = [(1, far), (2, edited), (3, " ".join(words[: len(words) // 3])), (4, None), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in contaminated(docs, benchmark).collect()} == {1, 2, None}
+    assert {r.doc_id for r in decontaminate(docs, benchmark).collect()} == {3, 4, None}
+
+
+def test_shards_of_items_together_find_what_one_does(documents, benchmark, monkeypatch):
+    from orderflow.llm import contamination
+
+    whole = {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).collect()}
+    monkeypatch.setattr(contamination, "SHARD_ITEMS", 9)
+    assert {(r.doc_id, r.item_id) for r in contaminated(documents, benchmark).collect()} == whole
+
+
+def test_hard_items(spark, hard):
+    items = [(1, None), (None, ""), (2, "one two"), (3, "   "), (4, "Of the many who came that day only a few")]
+    found = contaminated(hard, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(8, 2), (1, 4), (2, 4), (None, 4)}
+    assert not contaminated(hard, spark.createDataFrame([], "item_id long, text string")).collect()
+
+
+# all
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lmscore.scores,
+        repeats.without_repeats,
+        pii.personal_data,
+        neardup.join,
+        quality.judged,
+        quality.sound,
+        neardup.one_of_each,
+        lambda d: mixing.mix(mixing.sized(d)),
+        lambda d: mixing.digests(mixing.sized(d)),
+        lambda d: tokens.token_index(d, f"{shared_dir(d.sparkSession)}/tokens", tokenizer()),
+    ],
+)
+def test_empty_tables(no_documents, operator):
+    assert operator(no_documents).collect() == []

@@ -60,7 +60,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to a bound (a speed matter only)."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

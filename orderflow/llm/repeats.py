@@ -4,10 +4,10 @@ A passage of 13 words that also starts in a document with a smaller doc_id is
 removed. First recurring passages are confirmed: slices of the corpus send the
 hashes of their windows, each with the smallest document that has it, and shards
 answer with those that recur and their first document overall. A slice then
-compiles the recurring passages that it holds into Aho-Corasick automata over
-words (each word a character), in shards of bounded size, and streams all its
-documents through them to locate every occurrence. Windows are judged on the
-input, not on what is left.
+deals its documents into groups of bounded size; the recurring passages that a
+group holds are compiled into an Aho-Corasick automaton, and all documents of
+the group are streamed through it to locate every occurrence. Windows are judged
+on the input, not on what is left.
 
 Nulls and the like: a null text has no words; rows that share a doc_id are cut
 alike, as none is smaller; a row without a doc_id is left whole and makes no
@@ -27,48 +27,38 @@ from orderflow.llm.shared import gram_hashes, pack_planes, pack_sorted, settle,
 from orderflow.llm.slices import cuts, documents, packed, slice_count
 
 WINDOW = 13
-PHRASES = 120_000  # in one automaton
+GROUP_WORDS = 40_000  # of the documents that share an automaton
+RADIX = 64
 
-# One character per word. The surrogates are no characters.
-_FIRST, _GAP, _LAST = 1, 0xD800, 0x10FFFF
-WORDS_BOUND = _LAST - 0x800
 
-
-def _character(k: int) -> str:
-    code = k + _FIRST
-    return chr(code if code < _GAP else code + 0x800)
-
-
-class Automata:
-    """Recurring passages and their first documents, compiled in shards."""
+class Automaton:
+    """Recurring passages and their first documents, compiled. A node of the trie
+    looks its letters up one after the other, so the alphabet is kept small: a
+    word is written with as many letters as it takes to tell all words apart."""
 
     def __init__(self, phrases: list[tuple[list[bytes], int]]):
-        letters: dict[bytes, str] = {}
         distinct = {w for words, _ in phrases for w in words}
-        # Beyond the characters there are, a word is written with two.
-        self.wide = len(distinct) > WORDS_BOUND
-        for k, word in enumerate(distinct):
-            letters[word] = _character(k >> 10) + _character(k & 1023) if self.wide else _character(k)
-        self.letters, self.step = letters, 2 if self.wide else 1
-        self.machines = []
-        for start in range(0, len(phrases), PHRASES):
-            machine = ahocorasick.Automaton()
-            for words, first in phrases[start : start + PHRASES]:
-                machine.add_word("".join([letters[w] for w in words]), first)
-            machine.make_automaton()
-            self.machines.append(machine)
+        self.step = 1
+        while RADIX**self.step < len(distinct):
+            self.step += 1
+        self.letters = {
+            word: "".join([chr(1 + k // RADIX**i % RADIX) for i in range(self.step)]) for k, word in enumerate(distinct)
+        }
+        self.machine = ahocorasick.Automaton()
+        for words, first in phrases:
+            self.machine.add_word("".join([self.letters[w] for w in words]), first)
+        self.machine.make_automaton()
 
     def covered(self, doc_id: int, words: list[bytes]) -> np.ndarray:
         """Whether each word is in a passage that an earlier document has."""
         cover = np.zeros(len(words) + 1, np.int64)
-        get, other = self.letters.get, "\0" * self.step
-        line = "".join([get(w, other) for w in words])
-        for machine in self.machines:
-            for end, first in machine.iter(line):
-                if first < doc_id and (end + 1) % self.step == 0:
-                    last = (end + 1) // self.step
-                    cover[last - WINDOW] += 1
-                    cover[last] -= 1
+        get, other, step = self.letters.get, "\0" * self.step, self.step
+        for end, first in self.machine.iter("".join([get(w, other) for w in words])):
+            # A match between the words' borders is none.
+            if first < doc_id and (end + 1) % step == 0:
+                last = (end + 1) // step
+                cover[last - WINDOW] += 1
+                cover[last] -= 1
         return np.cumsum(cover[:-1]) > 0
 
 
@@ -142,20 +132,33 @@ def _answered(key, frame):
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
+def _groups(docs):
+    """Documents with their words, in groups of about so many words."""
+    group, size = [], 0
+    for doc, text in docs:
+        group.append((doc, text.split()))
+        size += len(group[-1][1])
+        if size >= GROUP_WORDS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _cut(left, right):
-    """Of a slice: compile its recurring passages, stream its documents."""
+    """Of a slice: per group of documents, compile the recurring passages that it
+    holds and stream all its documents through them."""
     keys = [unpack_sorted(b) for b in right["hashes"].to_pylist()]
     firsts = [unpack_planes(b).view(np.int64) for b in right["first"].to_pylist()]
     keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
     firsts = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
     order = np.argsort(keys)
     keys, firsts = keys[order], firsts[order]
-    blobs = left["docs"].to_pylist()
-    phrases: dict[int, tuple[list[bytes], int]] = {}
-    if len(keys):
-        for doc, text in documents(blobs):
-            words = text.split()
-            if doc is None or len(words) < WINDOW:
+    rows = []
+    for group in _groups(documents(left["docs"].to_pylist())):
+        phrases: dict[int, tuple[list[bytes], int]] = {}
+        for doc, words in group:
+            if doc is None or len(words) < WINDOW or not len(keys):
                 continue
             own = _windows(words)
             at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
@@ -163,17 +166,14 @@ def _cut(left, right):
                 k = int(at[start])
                 if k not in phrases:
                     phrases[k] = (words[start : start + WINDOW], int(firsts[k]))
-    automata = Automata(list(phrases.values()))
-    rows = []
-    for doc, text in documents(blobs):
-        words = text.split()
-        if doc is None or not automata.machines or len(words) < WINDOW:
-            rows.append((doc, len(words), 0, b" ".join(words)))
-            continue
-        gone = automata.covered(doc, words)
-        removed = int(gone.sum())
-        kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if removed else words
-        rows.append((doc, len(words), removed, b" ".join(kept)))
+        automaton = Automaton(list(phrases.values())) if phrases else None
+        for doc, words in group:
+            removed, kept = 0, words
+            if doc is not None and automaton:
+                gone = automaton.covered(doc, words)
+                removed = int(gone.sum())
+                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if removed else words
+            rows.append((doc, len(words), removed, b" ".join(kept)))
     columns = zip(*rows, strict=True) if rows else [()] * 4
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _KEPT, strict=True)], schema=_KEPT)
 

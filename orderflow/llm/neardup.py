@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -239,6 +240,49 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     )
 
 
+SIEVE_BITS, SIEVE_PARTS = 1 << 25, 32  # 4 MB whatever the number of documents
+
+
+def _sieve_places(ids: np.ndarray) -> list[np.ndarray]:
+    h = mix64(ids.view(np.uint64))
+    return [h % np.uint64(SIEVE_BITS), (h >> np.uint64(32)) % np.uint64(SIEVE_BITS)]
+
+
+def sift(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be among ``ids`` (doc_id), and few
+    others: a Bloom filter of fixed size, built by the executors, so that texts
+    that nobody asks for are not shuffled."""
+    schema = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(SIEVE_BITS, bool)
+        for batch in batches:
+            for places in _sieve_places(batch.column("doc_id").to_numpy()):
+                bits[places] = True
+        if bits.any():
+            parts = np.packbits(bits).reshape(SIEVE_PARTS, -1)
+            yield from batched(((k, zstandard.compress(p.tobytes(), 1)) for k, p in enumerate(parts)), schema)
+
+    def unite(key, frame):
+        bits = np.bitwise_or.reduce([np.frombuffer(zstandard.decompress(b), np.uint8) for b in frame["bits"].to_pylist()])
+        return pa.Table.from_pylist([{"part": key[0].as_py(), "bits": bits.tobytes()}], schema=schema)
+
+    parts = ids.mapInArrow(build, "part int, bits binary").groupBy("part").applyInArrow(unite, "part int, bits binary").collect()
+    whole = b"".join(r.bits for r in sorted(parts, key=lambda r: r.part))
+    sent = docs.sparkSession.sparkContext.broadcast(whole)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sent.value, np.uint8)
+        for batch in batches:
+            hit = np.full(batch.num_rows, len(bits) > 0)
+            if len(bits):
+                for places in _sieve_places(batch.column("doc_id").to_numpy()):
+                    hit &= (bits[places >> np.uint64(3)] >> (np.uint64(7) - (places & np.uint64(7))).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(hit))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame) -> DataFrame:
     """component, i, j, chunk, id, bands, set: the sets of each tile. A component
     of m members has m / CHUNK chunks, by a hash, and a tile for each two."""
@@ -251,7 +295,8 @@ def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame) -> DataFrame:
     )
     asked = heads.join(together.select(F.col("id").alias("set_key")), "set_key")
     asked = settle(asked, "asked")
-    texts = own.join(asked.select(F.col("copy_of").alias("doc_id")).distinct(), "doc_id")
+    wanted = asked.select(F.col("copy_of").alias("doc_id")).distinct()
+    texts = sift(own, wanted).join(wanted, "doc_id")
     schema = pa.schema([("set_key", pa.binary()), ("set", pa.binary())])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -158,17 +159,38 @@ def test_repeats(docs):
     same_rows([(r.doc_id, r.n_words, r.n_removed, r.sha) for r in rows], brute.repeats(pairs(docs)))
 
 
-def test_wide_automata_find_what_narrow_ones_do(monkeypatch):
+def test_automata_find_the_same_with_any_alphabet(monkeypatch):
     words = [f"w{k}".encode() for k in range(40)]
     phrases = [(words[k : k + 13], k) for k in range(20)]
-    monkeypatch.setattr(repeats, "PHRASES", 7)
-    plain = repeats.Automata(phrases).covered(10, words * 2)
-    monkeypatch.setattr(repeats, "WORDS_BOUND", 5)
-    assert repeats.Automata(phrases).wide
-    assert plain.tolist() == repeats.Automata(phrases).covered(10, words * 2).tolist()
+    plain = repeats.Automaton(phrases).covered(10, words * 2)
+    monkeypatch.setattr(repeats, "RADIX", 2)
+    assert repeats.Automaton(phrases).step == 5
+    assert plain.tolist() == repeats.Automaton(phrases).covered(10, words * 2).tolist()
     assert plain[:22].all() and not plain[22:40].any()
 
 
+def test_repeats_do_not_depend_on_the_groups(docs, monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP_WORDS", 50)
+    rows = repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)).collect()
+    same_rows([(r.doc_id, r.n_words, r.n_removed, r.sha) for r in rows], brute.repeats(pairs(docs)))
+
+
+def test_the_sieve_loses_nothing_asked_for(spark):
+    rows = spark.range(-500, 500).selectExpr("id as doc_id", "cast('x' as binary) as text")
+    asked = rows.where("doc_id % 10 = 3 or doc_id = -7").select("doc_id")
+    left = {r.doc_id for r in neardup.sift(rows, asked).collect()}
+    assert {r.doc_id for r in asked.collect()} <= left and len(left) < 200
+    assert neardup.sift(rows, asked.where("false")).count() == 0
+
+
+def test_packed_bigrams_come_back():
+    rng = np.random.default_rng(3)
+    first, second = rng.integers(0, 50, 999, np.uint64) << np.uint64(41), rng.integers(0, 1 << 40, 999, np.uint64)
+    merged = quality._merged(first, second, np.ones(999, np.int64))
+    for x, y in zip(merged, quality._unpack(*quality._pack(*merged)), strict=True):
+        assert x.tolist() == y.tolist()
+
+
 # 6
 def test_base_spans(docs):
     found = pii.personal_data(docs).select("doc_id", "base", "spans").collect()

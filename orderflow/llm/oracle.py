@@ -1,3 +1,55 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from orderflow.llm.licenses import COVER, DRIFT, GRAM, NOTICES, PHRASES
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _licenses() -> str:
+    """Every place of a template's gram by comparing words, no hashes."""
+    known = ", ".join(
+        f"({n}, '{label}', {n < len(PHRASES)}, {2 if n < len(PHRASES) else GRAM}, '{text}')"
+        for n, (label, text) in enumerate((*PHRASES, *NOTICES))
+    )
+    return f"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w
+  from documents),
+t as (select *, string_split(words, ' ') as tw from (values {known}) v(n, label, phrase, k, words)),
+tg as (
+  select n, label, phrase, k, len(tw) - k + 1 as grams, unnest(range(1, len(tw) - k + 2)) as off,
+    tw from t),
+g as (select r, doc_id, w, unnest(range(1, len(w))) as pos from d),
+hit as (
+  select g.r, tg.n, tg.label, tg.phrase, tg.k, tg.grams, tg.off, g.pos, g.pos - tg.off as diagonal
+  from g join tg on g.w[g.pos] = tg.tw[tg.off] and g.w[g.pos + 1] = tg.tw[tg.off + 1]
+  where tg.k = 2 or g.w[g.pos + 2] = tg.tw[tg.off + 2]),
+diag as (select distinct r, n, phrase, diagonal from hit),
+cut as (
+  select *, case when phrase or diagonal - lag(diagonal) over p > {DRIFT}
+      or lag(diagonal) over p is null then 1 else 0 end as apart
+  from diag window p as (partition by r, n order by diagonal)),
+run as (select *, sum(apart) over (partition by r, n order by diagonal) as span from cut),
+spans as (
+  select hit.r, hit.label, hit.phrase, min(pos) - 1 as start,
+    count(distinct off) / cast(greatest(any_value(grams), max(pos) - min(pos) + 1) as double) as score
+  from hit join run on hit.r = run.r and hit.n = run.n and hit.diagonal = run.diagonal
+  group by hit.r, hit.n, hit.label, hit.phrase, run.span
+  having score >= case when hit.phrase then 1.0 else {COVER} end),
+per as (
+  select r, count(*) filter (phrase) as n_base, min(start) filter (phrase) as first_word,
+    max(start) filter (phrase) as last_word,
+    string_agg(distinct label, ',' order by label) filter (phrase) as base_labels,
+    string_agg(distinct label, ',' order by label) as labels, max(score) as score
+  from spans group by r)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  coalesce(score, 0.0) as score
+from d left join per on d.r = per.r"""
+
+
+ORACLE_SQL: dict[str, str] = {"op11_licenses": _licenses()}

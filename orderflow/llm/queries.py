@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, contamination, lmscore, mixing, neardup, pii, quality, repeats, tokens, warc
+from orderflow.llm import chat, contamination, licenses, lmscore, mixing, neardup, pii, quality, repeats, tokens, warc
 from orderflow.llm.shared import table
 from orderflow.session import shared_dir
 
@@ -74,6 +74,10 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,5 +91,6 @@ QUERIES = {
         op8_quality,
         op9_warc,
         op10_leaks,
+        op11_licenses,
     )
 }

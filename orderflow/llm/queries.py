@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import chat, contamination, licenses, lmscore, mixing, neardup, pii, quality, repeats, tokens, warc
+from orderflow.llm import chat, contamination, licenses, lmscore, mixing, neardup, pii, quality, repair, repeats, tokens, variants, warc
 from orderflow.llm.shared import table
 from orderflow.session import shared_dir
 
@@ -78,6 +78,14 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summaries(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,5 +100,7 @@ QUERIES = {
         op9_warc,
         op10_leaks,
         op11_licenses,
+        op12_variants,
+        op13_repair,
     )
 }

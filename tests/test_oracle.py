@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from orderflow.plans.named_queries import QUERIES
+from orderflow.plans.oracle import oracle_queries
 from tests.check_oracle import differences
 from tests.conftest import SF_SMALL
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, small_duck, name):
-    assert differences(spark, small_duck, queries()[name], oracle_sql()[name], SF_SMALL) == []
+    assert differences(spark, small_duck, QUERIES[name], oracle_queries()[name], SF_SMALL) == []
 
 
 def test_entry(spark):
@@ -39,4 +41,4 @@ def test_entry(spark):
     ],
 )
 def test_known_row_counts(spark, name, rows):
-    assert queries()[name](spark, "/root/testdata/sf0.01").count() == rows
+    assert QUERIES[name](spark, "/root/testdata/sf0.01").count() == rows

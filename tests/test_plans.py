@@ -7,8 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from orderflow.operators import changes, merge, summary
+from orderflow.plans.named_queries import QUERIES
 from orderflow.plans.sample_tables import SampleTables
 from orderflow.schemas import ORDERS
 from orderflow.session import settle_into
@@ -99,9 +99,9 @@ def test_small_batch_shuffles_nothing_of_a_large_target(spark, tmp_path, conf):
 EAGER = re.compile("load_run|load_stream")
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not EAGER.match(n)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not EAGER.match(n)])
 def test_no_python_no_cross_join_no_global_window(spark, name):
-    text = plan(queries()[name](spark, SF_SMALL))
+    text = plan(QUERIES[name](spark, SF_SMALL))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Window "):
         assert word not in text, word
 

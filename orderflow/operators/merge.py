@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.merge import MergeIntoWriter
 
 from orderflow.operators.staging import merge_conflicts
 from orderflow.schemas import ORDERS
@@ -86,9 +87,22 @@ def assert_mergeable(target: DataFrame, source: DataFrame) -> None:
         raise ValueError(f"several source rows for one target row, e.g. {sample}")
 
 
+def assert_one_row_per_line(source: DataFrame) -> None:
+    """Fail if a batch has several rows for one line, which the repaired merge,
+    matching NULL products, too, would all put into the table. Runs a job."""
+    sample = merge_conflicts(source, per_batch=True).take(3)
+    if sample:
+        raise ValueError(f"several source rows for one line, e.g. {sample}")
+
+
 def merge_into_table(source: DataFrame, table: str) -> None:
     """The reference merge as a row-level MERGE, for catalogs that have one.
     Writes to the table."""
+    reference_merge(source, table).merge()
+
+
+def reference_merge(source: DataFrame, table: str) -> MergeIntoWriter:
+    """The MERGE of the reference mode, not yet run."""
     old = {name: F.col(f"{table}.{name}") for name in ORDERS.names}
     b = {name: F.col(f"b.{name}") for name in source.columns}
     op = b["sys_change_op"]
@@ -99,7 +113,7 @@ def merge_into_table(source: DataFrame, table: str) -> None:
     inserts = {name: b[name] for name in ORDERS.names if name in b} | {"deleted_flg": F.lit(0)}
     match = (old["salesorderid"] == b["salesorderid"]) & (old["productid"] == b["productid"])
     merge = source.alias("b").mergeInto(table, match)
-    merge.whenMatched().update(updates).whenNotMatched().insert(inserts).merge()
+    return merge.whenMatched().update(updates).whenNotMatched().insert(inserts)
 
 
 # -- repaired mode ----------------------------------------------------------
@@ -112,10 +126,14 @@ def _same_line(left: DataFrame, right: DataFrame) -> Column:
 
 
 def incoming_orders(source: DataFrame) -> DataFrame:
-    """One row per order in the source: ``batch`` and ``is_delete``."""
-    return source.groupBy("salesorderid").agg(
-        F.max("src_cdt_batch_id").alias("batch"),
-        F.max(F.when(F.col("sys_change_op") == "D", 1).otherwise(0)).alias("is_delete"),
+    """One row per order in the source: its latest ``batch`` there, which holds
+    all lines of the order, and whether that ``is_delete``."""
+    is_delete = F.when(F.col("sys_change_op") == "D", 1).otherwise(0)
+    latest = F.max(F.struct(F.col("src_cdt_batch_id").alias("batch"), is_delete.alias("is_delete")))
+    return (
+        source.groupBy("salesorderid")
+        .agg(latest.alias("latest"))
+        .select("salesorderid", "latest.batch", "latest.is_delete")
     )
 
 
@@ -158,17 +176,24 @@ def _deleted_lines(standing: DataFrame, deletes: DataFrame, with_lines: DataFram
     )
 
 
-def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettled) -> DataFrame:
-    """The whole target after the merge.
+def line_changes(
+    target: DataFrame, source: DataFrame, settle: Settle = unsettled
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What a batch does to the target, line by line: the changes (upserts, and
+    a row per standing line of a deleted order), the standing lines, the deletes.
 
-    Deletes are turned into changes per line first, so that the target itself
-    is joined once, on (order, product)."""
+    The source may hold several batches of an order; only the latest counts."""
     incoming = settle(incoming_orders(source), "incoming")
     standing = settle(standing_lines(target, incoming), "standing")
     verdicts = settle(order_verdicts(standing, incoming), "verdicts")
     deletes = verdicts.where(F.col("is_delete") == 1)
 
-    applied = source.join(verdicts.select("salesorderid", "is_delete"), "salesorderid")
+    decided = verdicts.select("salesorderid", "is_delete", "batch")
+    applied = (
+        source.join(decided, "salesorderid")
+        .where(F.col("src_cdt_batch_id").eqNullSafe(F.col("batch")))
+        .drop("batch")
+    )
     with_lines = applied.where((F.col("is_delete") == 1) & F.col("productid").isNotNull())
     changes = (
         applied.where(F.col("is_delete") == 0)
@@ -177,8 +202,15 @@ def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettle
     )
     # Written before it meets the target: the size of a join is not known
     # beforehand, and the whole target would be shuffled for a few changes.
-    changes = settle(changes, "changes")
+    return settle(changes, "changes"), standing, deletes
+
 
+def merge_orders(target: DataFrame, source: DataFrame, settle: Settle = unsettled) -> DataFrame:
+    """The whole target after the merge.
+
+    Deletes are turned into changes per line first, so that the target itself
+    is joined once, on (order, product)."""
+    changes, standing, deletes = line_changes(target, source, settle)
     b = _as_source(changes)
     on_line = (F.col("salesorderid") == F.col("b_salesorderid")) & F.col("productid").eqNullSafe(
         F.col("b_productid")
@@ -212,3 +244,44 @@ def tombstones(deletes: DataFrame) -> DataFrame:
     return deletes.where(~F.col("known")).select(
         [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDERS]
     )
+
+
+def merge_source(target: DataFrame, source: DataFrame, settle: Settle = unsettled) -> DataFrame:
+    """All that the repaired merge writes, as the source of a row-level MERGE:
+    the changes per line, the tombstones, and ``action`` (upsert, delete, or
+    delete with the time of the line)."""
+    changes, _, deletes = line_changes(target, source, settle)
+    action = (
+        F.when(F.col("is_delete") == 0, "upsert")
+        .when(F.col("sets_time") == 1, "delete at")
+        .otherwise("delete")
+    )
+    lines = changes.withColumn("action", action)
+    unseen = tombstones(deletes).drop("deleted_flg").withColumn("action", F.lit("tombstone"))
+    columns = [*(n for n in ORDERS.names if n != "deleted_flg"), "action"]
+    return lines.select(columns).unionByName(unseen.select(columns))
+
+
+def repaired_merge(changes: DataFrame, table: str) -> MergeIntoWriter:
+    """The MERGE of the repaired mode, not yet run: one clause per action, so that
+    only rows that change are rewritten. ``changes`` come from ``merge_source``."""
+    old = {name: F.col(f"{table}.{name}") for name in ORDERS.names}
+    b = {name: F.col(f"b.{name}") for name in changes.columns}
+    match = (old["salesorderid"] == b["salesorderid"]) & old["productid"].eqNullSafe(b["productid"])
+    deleted = {"src_cdt_batch_id": b["src_cdt_batch_id"], "deleted_flg": F.lit(1)}
+    upserted = {n: b[n] for n in ORDERS.names if n in b} | {"deleted_flg": F.lit(0)}
+    buried = upserted | {"deleted_flg": F.lit(1)}
+    return (
+        changes.alias("b")
+        .mergeInto(table, match)
+        .whenMatched(b["action"] == "upsert")
+        .update(upserted)
+        .whenMatched(b["action"] == "delete at")
+        .update(deleted | {"orderupdatedtm": b["orderupdatedtm"]})
+        .whenMatched(b["action"] == "delete")
+        .update(deleted)
+        .whenNotMatched(b["action"] == "upsert")
+        .insert(upserted)
+        .whenNotMatched(b["action"] == "tombstone")
+        .insert(buried)
+    )

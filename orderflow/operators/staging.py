@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.numbers import money_sum
 from orderflow.schemas import STAGING
 
+LINES = "line_count"
 GROUP_KEYS = (
     "salesorderid",
     "orderdate",
@@ -20,17 +21,37 @@ GROUP_KEYS = (
 )
 
 
-def stage_preagg(staged: DataFrame) -> DataFrame:
+def _folded(staged: DataFrame) -> DataFrame:
+    quantity = F.col("productorderqty")
+    return staged.groupBy(*GROUP_KEYS).agg(
+        F.try_sum(quantity).alias("productorderqty"),
+        money_sum(F.col("productsales")).alias("productsales"),
+        F.count(quantity).alias("quantities"),
+        F.count(F.lit(1)).alias(LINES),
+    )
+
+
+def _overflows() -> Column:
+    return F.col("productorderqty").isNull() & (F.col("quantities") > 0)
+
+
+def stage_preagg(staged: DataFrame, with_lines: bool = False) -> DataFrame:
     """Fold repeated (order, product) lines; NULL keys group together. Partial
-    sums are taken before the shuffle."""
-    return (
-        staged.groupBy(*GROUP_KEYS)
-        .agg(
-            F.sum("productorderqty").cast("int").alias("productorderqty"),
-            money_sum(F.col("productsales")).alias("productsales"),
-        )
-        .select(STAGING.names)
+    sums are taken before the shuffle. A quantity beyond 64 bits is an error that
+    names its line. ``with_lines`` adds how many lines each row was made of."""
+    error = F.concat(
+        F.lit("quantity of a line overflows: "), F.to_json(F.struct("salesorderid", "productid"))
+    )
+    quantity = F.when(_overflows(), F.raise_error(error).cast("bigint")).otherwise(
+        F.col("productorderqty")
     )
+    folded = _folded(staged).withColumn("productorderqty", quantity)
+    return folded.select(*STAGING.names, *([LINES] if with_lines else []))
+
+
+def quantity_overflows(staged: DataFrame) -> DataFrame:
+    """The lines whose quantities cannot be summed, and how many there are."""
+    return _folded(staged).where(_overflows()).select("salesorderid", "productid", LINES)
 
 
 def latest_batch_per_order(staged: DataFrame) -> DataFrame:
@@ -48,10 +69,12 @@ def latest_batch_per_order(staged: DataFrame) -> DataFrame:
     return staged.join(latest, same).drop("latest_order", "latest_batch")
 
 
-def merge_conflicts(source: DataFrame) -> DataFrame:
-    """Keys with more than one source row."""
+def merge_conflicts(source: DataFrame, per_batch: bool = False) -> DataFrame:
+    """Keys with more than one source row, or with more than one in a batch.
+    NULL products are one product here."""
+    keys = ["salesorderid", "productid", *(["src_cdt_batch_id"] if per_batch else [])]
     return (
-        source.groupBy("salesorderid", "productid")
+        source.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .where(F.col("row_count") > 1)
     )

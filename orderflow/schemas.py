@@ -34,7 +34,7 @@ STAGING = _struct(
     ("orderdate", _DATE),
     ("productname", _TEXT),
     ("postalcode", _TEXT),
-    ("productorderqty", _INT),
+    ("productorderqty", _LONG),
     ("productsales", _DOUBLE),
     ("sys_change_op", _TEXT),
     ("orderupdatedtm", _NTZ),
@@ -47,7 +47,7 @@ ORDERS = _struct(
     ("orderdate", _DATE),
     ("productname", _TEXT),
     ("postalcode", _TEXT),
-    ("productorderqty", _INT),
+    ("productorderqty", _LONG),
     ("productsales", _DOUBLE),
     ("orderupdatedtm", _NTZ),
     ("src_cdt_batch_id", _LONG),
@@ -72,7 +72,15 @@ ORDER_SUMMARY = _struct(
     ("productsales", _DOUBLE),
 )
 
-# One row per capture batch that is complete in the stage.
+# Versions of keys that changed; ``changed_at`` serves retention.
+CHANGE_LOG = _struct(
+    ("salesorderid", _LONG),
+    ("version", _LONG),
+    ("op", _TEXT),
+    ("changed_at", _NTZ),
+)
+
+# One row per capture batch whose lines are all in the stage.
 READY = _struct(("job_exec_id", _LONG), ("row_count", _LONG))
 
 

@@ -6,13 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderflow.operators.constraints import OF_LEDGER, enforced
 from orderflow.operators.ledger import (
     last_success_version,
     ledger_current,
     ledger_end,
     ledger_start,
 )
-from orderflow.schemas import LEDGER, assert_schema
+from orderflow.schemas import LEDGER
 from orderflow.sources.paths import exists
 
 
@@ -24,7 +25,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _append(event: DataFrame, path: str) -> None:
-    assert_schema(event, LEDGER).coalesce(1).write.mode("append").json(path)
+    enforced(event, OF_LEDGER).coalesce(1).write.mode("append").json(path)
 
 
 def open_job(spark: SparkSession, path: str, version: int, now: datetime) -> int:

@@ -19,3 +19,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 def drop_directory(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)
+
+
+def subdirectories(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    fs, at = _at(spark, path)
+    if not fs.exists(at):
+        return []
+    found = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
+    return sorted(name for name in found if name.startswith(prefix))
+
+
+def make_directory(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    fs.mkdirs(at)

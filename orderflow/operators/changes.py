@@ -34,6 +34,28 @@ def net_changes(log: DataFrame, since: int, until: int | None = None) -> DataFra
     )
 
 
+def net_changes_of_keys(feed: DataFrame, since: int) -> DataFrame:
+    """The same from a feed that keeps one row per key: salesorderid, op (the
+    last), version (of that) and creation_version (of the insert, NULL if none).
+    A key created after ``since`` is an insert, whatever happened to it then."""
+    created = F.col("creation_version") > since
+    return feed.where(F.col("version") > since).select(
+        "salesorderid",
+        F.when(F.col("op") == "D", "D").when(created, "I").otherwise("U").alias("sys_change_op"),
+    )
+
+
+def keys_of_log(log: DataFrame) -> DataFrame:
+    """The feed that keeps one row per key, folded from a log."""
+    last = F.max(F.struct("version", "op"))
+    created = F.max(F.when(F.col("op") == "I", F.col("version")))
+    return (
+        log.groupBy("salesorderid")
+        .agg(last.alias("last"), created.alias("creation_version"))
+        .select("salesorderid", "last.op", "last.version", "creation_version")
+    )
+
+
 def current_version(log: DataFrame) -> DataFrame:
     """One row, 0 for an empty log."""
     return log.agg(F.coalesce(F.max("version"), F.lit(0)).cast("bigint").alias("version"))

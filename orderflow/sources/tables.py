@@ -7,12 +7,15 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.sources.change_log import ChangeLog
+
 
 @dataclass(frozen=True)
 class SourceTables:
-    """The relations a capture reads; see the operators for their columns."""
+    """The relations a capture reads; see the operators for their columns. The
+    change log is one at rest, or any frame of salesorderid, version and op."""
 
-    change_log: DataFrame
+    change_log: DataFrame | ChangeLog
     header: DataFrame
     detail: DataFrame
     product: DataFrame

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.operators.joins import childless, children_of, fan_out, look_up
-from orderflow.session import Settle, fits_broadcast, unsettled
+from orderflow.session import Settle, unsettled
 
 OPERATIONS = ("I", "U", "D")
 
@@ -47,34 +47,23 @@ def capture_orders(
 ) -> DataFrame:
     """One row per line of each changed order, under the wire's names.
 
-    The address is looked up per header, before the fan-out: fewer rows, and
-    deletes (no ship-to) never meet in one partition of NULL keys. Product is
-    looked up on lines that exist, for the same reason.
+    The address is looked up per changed order, before the fan-out: fewer rows,
+    and orders without a header never meet in one partition of NULL keys. Product
+    is looked up on lines that exist, for the same reason.
     """
     postal = address.select(
         F.col("addressid").alias("shiptoaddressid"), F.col("postalcode").alias("PostalCode")
     )
-    if not fits_broadcast(postal):
-        header = settle(header, "changed_headers")
-    headers = look_up(header, postal, "shiptoaddressid", settle, "addresses")
-    changes = net.join(
-        headers.select(
-            "salesorderid",
-            F.col("orderdate").alias("OrderDate"),
-            F.col("modifieddate").alias("orderupdatedtm"),
-            "PostalCode",
-        ),
-        "salesorderid",
-        "left",
-    )
-    changes = settle(changes, "changed_orders")
+    headers = settle(join_changes_header(net, header), "changed_headers")
+    changes = settle(look_up(headers, postal, "shiptoaddressid"), "changed_orders")
+    changes = changes.drop("shiptoaddressid")
     names = product.select(
         F.col("productid").alias("ProductID"), F.col("name").alias("productname")
     )
     lines = children_of(changes, wire_lines(detail), "salesorderid")
     lines = settle(lines, "changed_lines")  # the only scan of the detail table
     lineless = childless(changes, lines, "salesorderid")
-    matched = look_up(lines, names, "ProductID", settle, "products")
+    matched = look_up(lines, names, "ProductID")
     return matched.unionByName(lineless, allowMissingColumns=True).select(
         "salesorderid",
         "sys_change_op",
@@ -96,9 +85,3 @@ def count_by_op(captured: DataFrame) -> DataFrame:
 def count_by_op_total(captured: DataFrame) -> DataFrame:
     """Rows per operation and, with a NULL operation, in total: one pass."""
     return captured.rollup("sys_change_op").agg(F.count(F.lit(1)).alias("row_count"))
-
-
-def observe_counts(captured: DataFrame, observation: Observation) -> DataFrame:
-    """The same counts taken while the rows pass by on their way to the stage."""
-    per_op = [F.count_if(F.col("sys_change_op") == op).alias(op) for op in OPERATIONS]
-    return captured.observe(observation, F.count(F.lit(1)).alias("total"), *per_op)

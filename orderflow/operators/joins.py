@@ -12,20 +12,23 @@ settled (written out, see ``session``) before it meets a side with hot keys.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-
-from orderflow.session import Settle, fits_broadcast, unsettled
-
-
-def look_up(
-    rows: DataFrame, table: DataFrame, key: str, settle: Settle = unsettled, name: str = "found"
-) -> DataFrame:
-    """Left outer join of many rows to a table with a unique key. Of a table too
-    large to broadcast, the rows asked for are picked and settled first, so that
-    few rows do not make the whole table shuffle."""
-    if settle is not unsettled and not fits_broadcast(table):
-        asked = rows.select(key).distinct()
-        table = settle(table.join(asked, key, "left_semi"), name)
-    return rows.join(table, key, "left")
+from pyspark.sql import functions as F
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left outer join of many rows to a table with a unique key, whatever the
+    size of either: one plan, in which Spark broadcasts a table that is small.
+
+    Of a large table only the range of keys that is asked for is scanned. The
+    range also marks the rows as selective, so that Spark's runtime Bloom filter
+    of their keys cuts the table down before it is shuffled. Rows without a key
+    find nothing and stay out of the join, where they would meet in one
+    partition. ``rows`` are read three times, so they should be settled; the
+    range takes a job."""
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    asked = F.col(key).between(low, high) if low is not None else F.lit(False)
+    found = rows.where(asked).join(table, key, "left")
+    return found.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def children_of(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

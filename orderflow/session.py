@@ -19,13 +19,6 @@ def unsettled(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark, by its own estimate and limit, would broadcast the frame."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(plan.stats().sizeInBytes()) <= int(limit)
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings. Hot keys are split by the adaptive skew join, also
     where that means one more shuffle behind the join. An aggregate shuffles by

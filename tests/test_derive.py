@@ -37,13 +37,14 @@ def test_prices(spark):
     assert found == [(Decimal("20.00"), 0.13), (Decimal("599.99"), 0.1)]
 
 
-def test_split_carries_the_key_and_keeps_line_less_headers(spark):
+def test_split_carries_the_key_and_keeps_line_less_headers(spark, tmp_path):
     orders = spark.createDataFrame(
         [(1, "a", [(5, 2), (6, 3)]), (1, "a", [(5, 2)]), (2, "b", []), (3, "c", None)],
         "salesorderid long, who string, orderdetails array<struct<productid: long, qty: int>>",
     )
-    assert bag(nested.split_order_headers(orders)) == [(1, "a"), (2, "b"), (3, "c")]
-    assert bag(nested.split_order_details(orders)) == [(5, 2, 1), (5, 2, 1), (6, 3, 1)]
+    headers, lines = nested.split_orders(orders, str(tmp_path / "split"))
+    assert bag(headers) == [(1, "a"), (2, "b"), (3, "c")]
+    assert bag(lines) == [(5, 2, 1), (5, 2, 1), (6, 3, 1)]
 
 
 def test_domains(spark):

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators import changes, merge, summary
+from orderflow.operators import capture, changes, merge, nested, summary
+from orderflow.operators.joins import look_up
 from orderflow.plans.named_queries import QUERIES
-from orderflow.plans.sample_tables import SampleTables
+from orderflow.plans.oracle import oracle_queries
+from orderflow.plans.sample_tables import SECOND, SampleTables
 from orderflow.schemas import ORDERS
 from orderflow.session import settle_into
 from orderflow.sources.tables import SourceTables
@@ -96,6 +99,71 @@ def test_small_batch_shuffles_nothing_of_a_large_target(spark, tmp_path, conf):
     assert semi.group(1) == "BroadcastHashJoin"
 
 
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_capture_has_one_plan_at_any_size(spark, small_duck, tmp_path, conf, limit):
+    """The same steps whatever may be broadcast; addresses are looked up for
+    changed orders only."""
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    sample, written, steps = SampleTables(spark, SF_SMALL), settle_into(str(tmp_path)), {}
+
+    def settle(df, name):
+        steps[name] = written(df, name)
+        return steps[name]
+
+    net = settle(changes.net_changes(sample.change_log(), *SECOND), "net")
+    rows = capture.capture_orders(
+        net, sample.header(99), sample.detail(99), sample.product(), sample.address(), 2, settle
+    )
+    assert list(steps) == ["net", "changed_headers", "changed_orders", "changed_lines"]
+    assert steps["changed_headers"].count() == steps["changed_orders"].count() == net.count()
+    sql = oracle_queries()["capture_orders"]
+    assert rows.count() == small_duck.execute(f"select count(*) from ({sql})").fetchone()[0]
+
+
+def test_a_large_table_is_cut_down_by_a_bloom_filter(spark, tmp_path, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+    )
+    written = settle_into(str(tmp_path))
+    rows = written(spark.range(1_000).selectExpr("id", "if(id % 9 = 0, null, 40 + id % 50) as k"), "rows")
+    table = written(spark.range(100_000).selectExpr("id as k", "2 * id as v"), "table")
+    found = look_up(rows, table, "k")
+    text = plan(found)
+    assert "might_contain" in text and "GreaterThanOrEqual(k,40)" in text
+    assert {(r.k, r.v) for r in found.collect()} == {(None, None)} | {(k, 2 * k) for k in range(40, 90)}
+    assert found.count() == 1_000
+
+
+def test_nested_orders_are_read_once_to_be_split(spark, tmp_path):
+    documents = SampleTables(spark, SF_SMALL).nested_orders()
+    path = str(tmp_path / "documents")
+    documents.write.parquet(path)
+    seen = []
+    read = spark.read.parquet(path)
+    headers, lines = nested.split_orders(read, str(tmp_path / "split"))
+    assert (headers.count(), lines.count()) == (1_500, spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count())
+    for frame in (headers, lines):
+        seen += frame.inputFiles()
+    assert all("/kind=" in f and "/documents/" not in f for f in seen)
+
+
+def test_row_level_merges_resolve(spark, tmp_path):
+    """No catalog here can run a MERGE: both are understood, and refused for the
+    table's sake alone."""
+    name = f"orders_{uuid.uuid4().hex}"
+    orders(spark, order_row(1, 5)).write.option("path", str(tmp_path / "t")).saveAsTable(name)
+    batch = source(spark, source_row(1, 5, 2, "U"), source_row(2, None, 2, "D"))
+    actions = merge.merge_source(spark.table(name), batch)
+    for ready in (merge.reference_merge(batch, name), merge.repaired_merge(actions, name)):
+        with pytest.raises(Exception, match="does not support MERGE INTO"):
+            ready.merge()
+    odd = actions.withColumnRenamed("orderdate", "day").withColumn("orderdate", F.lit("x").cast("binary"))
+    with pytest.raises(Exception, match="INCOMPATIBLE|CAST|cast"):
+        merge.repaired_merge(odd, name).merge()
+    spark.sql(f"drop table {name}")
+
+
 EAGER = re.compile("load_run|load_stream")
 
 

@@ -163,10 +163,10 @@ def test_keys_for_rows_that_all_sort_alike(spark):
     assert sizes < ROWS / 3  # the hot name does not fill one partition
 
 
-def test_documents_of_a_hot_order_are_bounded(spark):
+def test_documents_of_a_hot_order_are_bounded(spark, tmp_path):
     documents = nested.nest_details(skewed(spark, "salesorderid", "productid"), 100)
     assert documents.agg(F.max(F.size("orderdetails"))).first()[0] <= 100
-    lines = nested.split_order_details(documents)
+    lines = nested.split_orders(documents, str(tmp_path / "split"))[1]
     assert bag(lines) == bag(skewed(spark, "salesorderid", "productid"))
 
 

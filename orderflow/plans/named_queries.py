@@ -21,12 +21,15 @@ from orderflow.operators import (
     terms,
     wire,
 )
+from orderflow.operators.constraints import OF_LEDGER, violations
 from orderflow.plans import runs
 from orderflow.plans.sample_tables import BEFORE_DELETES, FIRST, SECOND, SampleTables
-from orderflow.schemas import ORDERS, STAGING
+from orderflow.schemas import ORDER_SUMMARY, ORDERS, STAGING
 from orderflow.session import configure, settle_into, shared_dir
+from orderflow.sources.change_log import ChangeLog
 from orderflow.sources.orders_table import OrdersTable
-from orderflow.sources.stage import Stage, read_wire, ready_batches, write_wire
+from orderflow.sources.stage import Stage, read_lines, ready_batches, write_wire
+from orderflow.sources.stage import short_batches as find_short_batches
 from orderflow.streaming.load_stream import start_load_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +40,7 @@ NOW = datetime(2025, 1, 1, 12, 0, 0)
 # Versions that exist: the last delete happens at 99.
 LAST_VERSION = 99
 TABLE_BUCKETS = 16
+FILES_PER_TRIGGER = 4
 
 
 def _query(body: Callable[[SampleTables], DataFrame]) -> Query:
@@ -99,6 +103,44 @@ def net_changes_between(t):
     return changes.net_changes(t.change_log(), 30, 95)
 
 
+@_query
+def net_changes_of_log(t):
+    """From a log at rest, of which only the partitions of the range are read."""
+    log = t.log_at_rest().between(t.spark, *SECOND)
+    return changes.net_changes(log, *SECOND)
+
+
+def _mark(t):
+    """The version of the last success among the first jobs."""
+    return ledger.last_success_version(t.ledger().where("db_chg_version_id between 40 and 69"))
+
+
+@_query
+def net_changes_after_mark(t):
+    """Since the last success, ledger and log read by one query."""
+    return changes.net_changes(t.log_at_rest().after(_mark(t)), 0)
+
+
+@_query
+def net_changes_of_keys(t):
+    """From a feed with one row per key."""
+    return changes.net_changes_of_keys(changes.keys_of_log(t.change_log()), SECOND[0])
+
+
+@_query
+def newest_version_of_log(t):
+    return t.log_at_rest().newest_version(t.spark)
+
+
+@_query
+def cleaned_log(t):
+    """What is left of a log at rest after its retention."""
+    log = ChangeLog(f"{shared_dir(t.spark)}/log", versions_per_part=100)
+    log.append(t.event_log())
+    log.clean(t.spark, _newest_event(t))
+    return log.read(t.spark).select("salesorderid", "version", "op", "changed_at")
+
+
 @_query
 def current_version(t):
     return changes.current_version(t.change_log())
@@ -174,7 +216,65 @@ def copy_to_stage(t):
     """Through JSON files of a stage and back."""
     stage = Stage(shared_dir(t.spark))
     write_wire(_captured(t, SECOND, 2), stage, 2)
-    return runs.copy_to_stage(read_wire(t.spark, stage, [2]))
+    return runs.copy_to_stage(read_lines(t.spark, stage, [2]), _settle(t))[0]
+
+
+@_query
+def parse_wire_variant(t):
+    """Whole lines, some with a field more, as they came."""
+    wired = wire.stringify_wire(_captured(t, SECOND, 2))
+    odd = F.when(F.col("salesorderid").cast("bigint") % 5 == 0, "blue").alias("colour")
+    return wire.parse_wire_variant(wired.select(F.to_json(F.struct(*wired.columns, odd)).alias("value")))
+
+
+def _judged(t):
+    """A batch of which some lines are broken, judged line by line."""
+    root = shared_dir(t.spark)
+    stage, settle = Stage(f"{root}/stage"), settle_into(root)
+    t.break_lines(settle(_captured(t, SECOND, 2), "captured"), stage, 2)
+    lines = read_lines(t.spark, stage, [2], strict=False)
+    return settle(wire.judge_wire(lines), "judged")
+
+
+@_query
+def quarantine_rows(t):
+    """Lines set aside, by order and reason."""
+    bad = wire.split_wire(_judged(t))[1]
+    return bad.groupBy("batch", F.col("about").alias("salesorderid"), "problem").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+@_query
+def quarantine_loaded(t):
+    """Orders whose lines are all whole."""
+    return wire.split_wire(_judged(t))[0]
+
+
+@_query
+def short_batches(t):
+    """Two batches, of the second only the lines of every other order arrived."""
+    stage = Stage(shared_dir(t.spark))
+    write_wire(_captured(t, FIRST, 1), stage, 1)
+    second = _settle(t)(_captured(t, SECOND, 2), "second")
+    write_wire(second, stage, 2)
+    some = wire.stringify_wire(second.where("salesorderid % 2 = 0"))
+    some.write.mode("overwrite").json(stage.batch_path(2))
+    return find_short_batches(t.spark, stage)
+
+
+@_query
+def quantity_overflows(t):
+    """Quantities so large that two of them are too many."""
+    large = F.col("productorderqty") * F.lit(1 << 57)
+    return staging.quantity_overflows(_staged(t, FIRST, 1).withColumn("productorderqty", large))
+
+
+@_query
+def ledger_violations(t):
+    """Jobs that ended without a status may not be noted."""
+    ended = t.ledger().withColumn("job_end_ts", F.col("job_start_ts"))
+    return violations(ended, OF_LEDGER)
 
 
 @_query
@@ -251,6 +351,12 @@ def merge_orders_with_lines(t):
     return merge.merge_orders(*_matching_merge(t), _settle(t))
 
 
+@_query
+def merge_actions(t):
+    """What a row-level MERGE is given to write."""
+    return merge.merge_source(*_matching_merge(t), _settle(t))
+
+
 @_query
 def merge_ignores_stale(t):
     """Batch 2 first, then batch 1, which must not undo it."""
@@ -264,8 +370,7 @@ def merge_ignores_stale(t):
 def merge_both_batches(t):
     """Both batches staged in one load."""
     settle = _settle(t)
-    latest = settle(staging.latest_batch_per_order(settle(_both_sources(t), "both")), "latest")
-    return merge.merge_orders(_no_orders(t), latest, settle)
+    return merge.merge_orders(_no_orders(t), settle(_both_sources(t), "both"), settle)
 
 
 # -- summary ----------------------------------------------------------------------
@@ -287,6 +392,14 @@ def order_summary(t):
     return summary.order_summary(merged)
 
 
+@_query
+def order_summary_table(t):
+    """The summary of the first load, written and read."""
+    path = f"{shared_dir(t.spark)}/summary"
+    runs.write_summary(_after_first(t, _settle(t)), path)
+    return t.spark.read.schema(ORDER_SUMMARY).parquet(path)
+
+
 @_query
 def order_summary_first_load(t):
     """From the change log to the summary."""
@@ -325,12 +438,12 @@ def load_run_reference(t):
 
 @_query
 def load_stream(t):
-    """Two captures, then the stream, one batch per micro-batch."""
+    """Two captures, then the stream, a few files per micro-batch."""
     root, stage, table = _stage_and_table(t)
     for until in (FIRST[1], LAST_VERSION):
         runs.run_capture(t.spark, t.sources(until), f"{root}/ledger", stage, NOW)
     start_load_stream(
-        t.spark, stage, table, f"{root}/checkpoint", batches_per_trigger=1
+        t.spark, stage, table, f"{root}/checkpoint", files_per_trigger=FILES_PER_TRIGGER
     ).awaitTermination()
     return table.read(t.spark)
 
@@ -345,9 +458,9 @@ def last_success_version(t):
 
 @_query
 def last_success_version_empty(t):
-    """No run has succeeded yet."""
-    failed = t.ledger().where(F.col("job_exec_status").isNull())
-    return ledger.last_success_version(failed)
+    """No run has succeeded yet: every job of the ledger failed."""
+    none = F.when(F.col("job_exec_id") < 0, 0).cast("int")
+    return ledger.last_success_version(t.ledger().withColumn("job_exec_status", none))
 
 
 @_query
@@ -416,12 +529,12 @@ def assign_order_keys(t):
 
 @_query
 def split_order_headers(t):
-    return nested.split_order_headers(t.nested_orders())
+    return nested.split_orders(t.nested_orders(), shared_dir(t.spark))[0]
 
 
 @_query
 def split_order_details(t):
-    return nested.split_order_details(t.nested_orders())
+    return nested.split_orders(t.nested_orders(), shared_dir(t.spark))[1]
 
 
 @_query

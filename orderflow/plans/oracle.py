@@ -79,7 +79,7 @@ from net{n} n left join hdr{n} h on n.salesorderid = h.salesorderid
 def _staged(n: str) -> str:
     return f"""
 select salesorderid, "ProductID" as productid, cast("OrderDate" as date) as orderdate,
-  productname, "PostalCode" as postalcode, productorderqty,
+  productname, "PostalCode" as postalcode, cast(productorderqty as bigint) as productorderqty,
   cast(productsales as double) as productsales, sys_change_op, orderupdatedtm,
   job_exec_id as src_cdt_batch_id
 from cap{n}"""
@@ -88,7 +88,7 @@ from cap{n}"""
 def _preagg(staged: str) -> str:
     return f"""
 select salesorderid, productid, orderdate, productname, postalcode,
-  cast(sum(productorderqty) as int) as productorderqty,
+  cast(sum(productorderqty) as bigint) as productorderqty,
   cast(sum(cast(productsales as decimal(28,6))) as double) as productsales,
   sys_change_op, orderupdatedtm, src_cdt_batch_id
 from {staged}
@@ -285,6 +285,17 @@ def oracle_queries() -> dict[str, str]:
     sql = {
         "net_changes_since": _net(SECOND[0], None),
         "net_changes_between": _net(30, 95),
+        "net_changes_of_log": _net(*SECOND),
+        "net_changes_of_keys": _net(SECOND[0], None),
+        "net_changes_after_mark": _net(0, None).replace("from clog\n", """from
+            (select * from clog where ver > (select db_chg_version_id from led
+              where job_exec_status = 0 and db_chg_version_id between 40 and 69
+              order by job_end_ts desc, db_chg_version_id desc limit 1))\n"""),
+        "newest_version_of_log": "select max(ver) as version from clog",
+        "cleaned_log": """select * from elog where version // 100 >= (
+            select min(part) from (select version // 100 as part from elog group by 1
+              having max(changed_at) >= (select max(changed_at) from elog) - interval '3' day
+                or part = (select max(version // 100) from elog)))""",
         "current_version": "select coalesce(max(ver), 0) as version from clog",
         "change_log_retention": """select * from elog
             where changed_at >= (select max(changed_at) from elog) - interval '3' day""",
@@ -304,6 +315,43 @@ def oracle_queries() -> dict[str, str]:
             group by rollup (sys_change_op)""",
         "stringify_wire": f"select {wire} from cap2",
         "parse_wire": f"select {_STAGING} from stg2",
+        "parse_wire_variant": f"""select {_STAGING}, case when salesorderid % 5 = 0
+            then '{{"colour":"blue"}}' end as more from stg2""",
+        "quarantine_rows": """select * from (with line as (select salesorderid, case
+              when (salesorderid + coalesce("ProductID", 0)) % 97 = 0 then 'not JSON'
+              when (salesorderid + coalesce("ProductID", 0)) % 97 = 1
+                and productorderqty is not null then 'unreadable productorderqty' end as problem
+              from cap2),
+            told as (select salesorderid, coalesce(problem, case when salesorderid in (
+              select salesorderid from line where problem is not null)
+              then 'another line of the order' end) as problem from line)
+            select cast(2 as bigint) as batch, salesorderid, problem, count(*) as line_count
+            from told where problem is not null group by salesorderid, problem) q""",
+        "quarantine_loaded": f"""select {_STAGING} from stg2 where salesorderid not in (
+            select salesorderid from stg2 where (salesorderid + coalesce(productid, 0)) % 97 = 0
+              or ((salesorderid + coalesce(productid, 0)) % 97 = 1
+                and productorderqty is not null))""",
+        "short_batches": """select cast(2 as bigint) as job_exec_id, count(*) as row_count,
+            count(*) filter (salesorderid % 2 = 0) as line_count from cap2
+            having count(*) <> count(*) filter (salesorderid % 2 = 0)""",
+        "quantity_overflows": """select salesorderid, productid, count(*) as line_count from stg1
+            group by all having sum(cast(productorderqty as hugeint)) * 144115188075855872
+              > 9223372036854775807""",
+        "ledger_violations": """select job_exec_id,
+            'a job that has ended needs a status' as broken from led
+            where job_exec_status is null""",
+        "merge_actions": """select b.salesorderid, b.productid, b.orderdate, b.productname,
+              b.postalcode, b.productorderqty, b.productsales, b.orderupdatedtm,
+              b.src_cdt_batch_id, 'upsert' as action
+            from agg3 b join verdict_after1_agg3 v on b.salesorderid = v.salesorderid where v.d = 0
+            union all
+            select a.salesorderid, a.productid, null, null, null, null, null, b.orderupdatedtm,
+              v.batch, case when b.salesorderid is null then 'delete' else 'delete at' end
+            from after1 a join verdict_after1_agg3 v on a.salesorderid = v.salesorderid and v.d = 1
+            left join agg3 b on a.salesorderid = b.salesorderid and a.productid = b.productid
+            union all
+            select salesorderid, null, null, null, null, null, null, null, batch, 'tombstone'
+            from verdict_after1_agg3 where d = 1 and not known""",
         "copy_to_stage": f"select {_STAGING} from stg2",
         "ready_batch_counts": """select cast(1 as bigint) as job_exec_id, count(*) as row_count
             from cap1 union all select cast(2 as bigint), count(*) from cap2""",
@@ -324,6 +372,7 @@ def oracle_queries() -> dict[str, str]:
         "merge_both_batches": f"select {_ORDERS} from merged_empty_latest",
         "live_orders": f"{merged} where deleted_flg = 0",
         "order_summary": _summary("merged_after1_agg2"),
+        "order_summary_table": _summary("after1"),
         "order_summary_first_load": _summary("after1"),
         "load_run": merged,
         "load_run_reference": _merge_reference("after1", "agg2"),
@@ -334,7 +383,7 @@ def oracle_queries() -> dict[str, str]:
             order by job_end_ts desc nulls last, db_chg_version_id desc limit 1""",
         "last_success_version_empty": """select db_chg_version_id from (
             select db_chg_version_id, job_end_ts from led
-            where job_exec_status = 0 and job_exec_status is null
+            where case when job_exec_id < 0 then 0 end = 0
             union all select cast(0 as bigint), cast('1980-01-01 00:00:00' as timestamp)) a
             order by job_end_ts desc nulls last, db_chg_version_id desc limit 1""",
         "ledger_start": f"""select * from led union all

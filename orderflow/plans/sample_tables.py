@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.functions.text import as_text
 from orderflow.operators.joins import children_of, fan_out
 from orderflow.operators.nested import nest_details
+from orderflow.session import settle_into, shared_dir
+from orderflow.sources.change_log import ChangeLog
+from orderflow.sources.stage import Stage, mark_ready
 from orderflow.sources.tables import SourceTables, parquet_table
 
 FIRST = (0, 59)  # version range of batch 1: all inserts
@@ -56,6 +60,11 @@ class SampleTables:
             .where(F.col("version").isNotNull())
         )
 
+    def log_at_rest(self, versions_per_part: int = 10) -> ChangeLog:
+        log = ChangeLog(f"{shared_dir(self.spark)}/log", versions_per_part)
+        log.append(self.change_log())
+        return log
+
     def header(self, until: int) -> DataFrame:
         """Orders standing at a version; an update moves the time by a day."""
         key = F.col("o_orderkey")
@@ -132,6 +141,19 @@ class SampleTables:
             F.col("ts").alias("changed_at"),
         )
 
+    def break_lines(self, captured: DataFrame, stage: Stage, batch_id: int) -> None:
+        """A batch in the stage of which some lines are cut off and some hold a word
+        for a quantity, by the remainder of order and product."""
+        rule = (F.col("salesorderid") + F.coalesce("ProductID", F.lit(0))) % 97
+        wire = captured.select(rule.alias("rule"), *[as_text(c) for c in captured.columns])
+        many = F.when((F.col("rule") == 1) & F.col("productorderqty").isNotNull(), "many")
+        wire = wire.withColumn("productorderqty", many.otherwise(F.col("productorderqty")))
+        whole = F.to_json(F.struct(*captured.columns))
+        kept = F.when(F.col("rule") == 0, F.floor(F.length("value") * 0.6)).otherwise(F.length("value"))
+        lines = wire.withColumn("value", whole).select(F.substr("value", F.lit(1), kept.cast("int")))
+        lines.write.mode("overwrite").text(stage.batch_path(batch_id))
+        mark_ready(self.spark, stage, batch_id, captured.count())
+
     def nested_orders(self) -> DataFrame:
         headers = self.table("orders").select(
             F.col("o_orderkey").alias("salesorderid"),
@@ -147,7 +169,8 @@ class SampleTables:
             F.col("l_extendedprice").alias("unitprice"),
             F.col("l_discount").alias("unitpricediscount"),
         )
-        return fan_out(headers, nest_details(lines), "salesorderid")
+        documents = settle_into(shared_dir(self.spark))(nest_details(lines), "documents")
+        return fan_out(headers, documents, "salesorderid")
 
     def persons(self) -> DataFrame:
         """The customer behind each order, so persons repeat."""

@@ -40,7 +40,7 @@ NOW = datetime(2025, 1, 1, 12, 0, 0)
 # Versions that exist: the last delete happens at 99.
 LAST_VERSION = 99
 TABLE_BUCKETS = 16
-FILES_PER_TRIGGER = 4
+FILES_PER_TRIGGER = 64
 
 
 def _query(body: Callable[[SampleTables], DataFrame]) -> Query:

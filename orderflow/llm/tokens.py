@@ -139,7 +139,7 @@ class Encoder:
     least; so the ids of a text are those of its parts, which repeat a lot.
     Memory is bounded: two generations of remembered parts."""
 
-    LIMIT = 500_000
+    LIMIT = 250_000
     SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
     ASCII_SPACES = [c for c in SPACES if c < "\x80"]
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,20 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+_remembered: dict[str, Callable[[], None]] = {}
+
+
+def working_for(owner: str, forget: Callable[[], None] | None = None) -> None:
+    """To be called where a task starts. One worker process serves the tasks of
+    many operators; what others remember there for speed is forgotten, so that it
+    does not lie beside what this one needs. ``forget`` drops the owner's own."""
+    for other in [name for name in _remembered if name != owner]:
+        _remembered.pop(other)()
+        gc.collect()
+    if forget is not None:
+        _remembered[owner] = forget
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to a bound (a speed matter only)."""
 

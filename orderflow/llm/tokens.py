@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, rows_of, settle
+from orderflow.llm.shared import batched, rows_of, settle, working_for
 
 BLOCK = 128
 SHARE = 0.9
@@ -139,7 +139,7 @@ class Encoder:
     least; so the ids of a text are those of its parts, which repeat a lot.
     Memory is bounded: two generations of remembered parts."""
 
-    LIMIT = 250_000
+    LIMIT = 500_000
     SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
     ASCII_SPACES = [c for c in SPACES if c < "\x80"]
 
@@ -218,6 +218,10 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_encoders() -> None:
+    _encoders.clear()
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = 16 << 20) -> None:
     """Encode every whole text (null: empty), append the end id, and write files
     in ascending doc_id order (null doc_id first; repeated rows stay, in any
@@ -228,6 +232,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = 1
     files = max(1, -(-size // file_bytes))
 
     def files_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("tokens", forget_encoders)
         encode, end = encoder(tokenizer), np.array([END], "<u4")
         held = [(d, np.concatenate([encode(t), end])) for d, t in rows_of(batches, "doc_id", "text")]
         if held:

@@ -41,3 +41,13 @@ def test_each_stage_does_its_work_on_what_is_left(spark, documents):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_a_worker_forgets_what_other_operators_remember():
+    from orderflow.llm import shared, tokens
+
+    tokens._encoders["x"] = object()
+    shared.working_for("tokens", tokens.forget_encoders)
+    assert "x" in tokens._encoders
+    shared.working_for("quality")
+    assert not tokens._encoders

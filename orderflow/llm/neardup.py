@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, gram_hashes, mix64, rows_of, settle, text_bytes, word_hashes
+from orderflow.llm.shared import batched, gram_hashes, mix64, rows_of, settle, sliced, text_bytes, word_hashes, working_for
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9995, 6
 CHUNK = 256  # representatives in a chunk of a tile
@@ -82,6 +82,8 @@ def signatures(docs: DataFrame, bands: int) -> DataFrame:
     )
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("neardup")
+
         def chunk(held):
             full = [(d, s) for d, s in held if len(s)]
             signed = band_hashes([s for _, s in full], bands).view(np.int64).tolist() if full else []
@@ -93,7 +95,7 @@ def signatures(docs: DataFrame, bands: int) -> DataFrame:
 
         def rows():
             held, size = [], 0
-            for doc, text in rows_of(batches, "doc_id", "text"):
+            for doc, text in rows_of(sliced(batches), "doc_id", "text"):
                 held.append((doc, shingles(text)))
                 size += len(held[-1][1])
                 if size > 100_000:

@@ -39,13 +39,6 @@ def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
-def sliced(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """A few rows at a time, so that few texts are Python objects at once."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def batched(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches, of bounded length."""
     held: list[tuple] = []
@@ -94,10 +87,6 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
-def forget_hashes() -> None:
-    _hashes.clear()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 

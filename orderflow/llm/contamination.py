@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, rows_of, settle, text_bytes
+from orderflow.llm.shared import batched, rows_of, settle, text_bytes, text_key, working_for
 
 K1, B = 1.2, 0.75
 SHARE = 0.5  # of an item's own score
@@ -192,27 +192,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score_share (BM25 as a share of the item's own score),
     passage_start (in normal words), question_overlap, answer_overlap: a row for
     each document (row) and test item that is confirmed."""
+    return _found(docs, benchmark).drop("text_key")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
-    ddl = "doc_id long, item_id long, score_share double, passage_start long, question_overlap double, answer_overlap double"
+    ddl = "doc_id long, text_key binary, item_id long, score_share double, passage_start long, question_overlap double, answer_overlap double"
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score_share", pa.float64()), ("passage_start", pa.int64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]
+        [("doc_id", pa.int64()), ("text_key", pa.binary()), ("item_id", pa.int64()), ("score_share", pa.float64()), ("passage_start", pa.int64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]
     )
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), text_bytes().alias("text"))
     out = None
     for shard in _shards(benchmark):
         sent = spark.sparkContext.broadcast(shard)
 
         def search(batches: Iterable[pa.RecordBatch], sent=sent, key=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            working_for("contamination", _built.clear)
             if key not in _built:
                 _built.clear()
                 _built[key] = Index(sent.value)
             index = _built[key]
 
             def rows():
-                for doc, text in rows_of(batches, "doc_id", "text"):
+                for doc, own_key, text in rows_of(batches, "doc_id", "text_key", "text"):
                     words = normal(text.split())
                     for pair in index.verified(words, index.retrieve(index.terms(words))):
-                        yield doc, *pair
+                        yield doc, own_key, *pair
 
             yield from batched(rows(), schema)
 
@@ -222,6 +227,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item (those with a null doc_id are kept)."""
-    bad = settle(contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__bad"), "left_anti")
+    """The rows of ``docs`` that hold no test item (those with a null doc_id are
+    kept). Rows are told apart by doc_id and text: a clean text stays where its
+    doc_id also stands on one that goes."""
+    bad = _found(docs, benchmark).select(F.col("doc_id").alias("__bad_doc"), F.col("text_key").alias("__bad_text"))
+    bad = settle(bad.distinct(), "contaminated")
+    return docs.join(bad, (F.col("doc_id").cast("long") == F.col("__bad_doc")) & (text_key() == F.col("__bad_text")), "left_anti")

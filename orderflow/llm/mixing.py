@@ -10,8 +10,9 @@ reruns agree. It owns the next blocks of each source in a permuted order,
 disjoint from all other shards', and shuffles their documents locally.
 
 Nulls and the like: a null text has size 0, a null source is a source of its
-own (the last one), a null doc_id is hashed as such, repeated rows are separate
-documents, texts without words are taken as often as their block is, and an
+own (the last one), rows are placed by a hash of all their columns, so many rows of
+one doc_id (or of none) fall apart, and rows alike in everything are numbered and
+placed by their number, too: each is a document of its own; texts without words are taken as often as their block is, and an
 empty table gives an empty mix. Columns of the input may have any names; ours
 start with ``__mix_``.
 """
@@ -37,6 +38,7 @@ SHARD_WORDS = 1 << 22
 SEED = 20
 
 SOURCE, SIZE, HASH, BLOCK = "__mix_source", "__mix_size", "__mix_hash", "__mix_block"
+ROW, SAME = "__mix_row", "__mix_same"
 
 
 @F.pandas_udf(T.LongType())
@@ -91,26 +93,55 @@ def _block(hash_: Column, blocks: Column) -> Column:
     return F.shiftright(F.shiftrightunsigned(hash_, 32) * blocks, 31)
 
 
-def _in_order(docs: DataFrame) -> DataFrame:
-    # 63 bits, so that no hash is negative.
-    return docs.withColumn(
-        HASH, F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long")), 1)
-    ).withColumn(SOURCE, F.col("source").cast("string"))
+def _hashable(kind: str) -> bool:
+    return "map<" not in kind and "variant" not in kind
 
 
-def _key() -> Column:
-    return F.struct(
-        F.col(HASH).alias("h"), F.col("doc_id").cast("long").alias("d"), F.col(SIZE).alias("s")
+def in_order(docs: DataFrame) -> DataFrame:
+    """Settles the rows with their place (63 bits) in the permuted order: a hash of
+    their columns, and of a number among the rows that are alike in all of them.
+    Which of these gets which number makes no difference, so reruns agree."""
+    columns = [c for c, kind in docs.dtypes if _hashable(kind)]
+    rows = settle(
+        docs.withColumn(SOURCE, F.col("source").cast("string"))
+        .withColumn(HASH, F.xxhash64(F.lit(SEED), *columns))
+        .withColumn(ROW, F.monotonically_increasing_id()),
+        "rows",
+    )
+    slim = rows.select(HASH, ROW, F.shiftright(ROW, 33).alias("part"))
+    # A part is a task's rows; no window gathers more than one task's rows alike.
+    parts = slim.groupBy(HASH, "part").agg(F.count("*").alias("n"))
+    alike = settle(parts.groupBy(HASH).agg(F.sum("n").alias("n")).where("n > 1").select(HASH), "alike")
+    ahead = Window.partitionBy(HASH).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = settle(
+        parts.join(alike, HASH).select(HASH, "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")), "base"
+    )
+    inside = F.row_number().over(Window.partitionBy(HASH, "part").orderBy(ROW)) - 1
+    numbers = (
+        slim.join(alike, HASH)
+        .withColumn("k", inside)
+        .join(base, [HASH, "part"])
+        .select(ROW, (F.col("base") + F.col("k")).alias(SAME))
+        .where(F.col(SAME) > 0)
+    )
+    return (
+        rows.join(settle(numbers, "numbers"), ROW, "left")
+        .withColumn(SAME, F.coalesce(SAME, F.lit(0)))
+        .withColumn(HASH, F.shiftrightunsigned(F.xxhash64(HASH, SAME), 1))
     )
 
 
+def _key() -> Column:
+    return F.struct(F.col(HASH).alias("h"), F.col(SAME).alias("k"), F.col(SIZE).alias("s"))
+
+
 def source_specs(docs: DataFrame, weights=WEIGHTS, max_repeats=MAX_REPEATS) -> DataFrame:
-    """What the mix takes of each source: whole passes, then the documents up to
+    """What the mix takes of each source, of rows ``in_order``: whole passes, then the documents up to
     a cut in hash order. The cut is found by running sums over groups of
     blocks, then the blocks of one group, then the documents of one block, so
     no task sees a whole source."""
     # Sizes are counted once here, from the texts.
-    slim = settle(_in_order(docs).select("doc_id", SOURCE, SIZE, HASH), "slim")
+    slim = settle(docs.select(SOURCE, SIZE, HASH, SAME), "slim")
     totals = slim.groupBy(F.col(SOURCE).alias("source")).agg(F.sum(SIZE).alias("source_size"))
     spec = (
         targets(totals, weights, max_repeats)
@@ -241,11 +272,14 @@ def mix(sized_docs: DataFrame, weights=WEIGHTS, max_repeats=MAX_REPEATS, shard_w
     """The mix: a row for each copy of a document that it takes, with the input's
     columns and ``__mix_source_size``, ``__mix_target``, ``__mix_shard`` and
     ``__mix_position`` (its place in the shard, in shuffled order)."""
-    specs = source_specs(sized_docs, weights, max_repeats)
+    return _mixed(in_order(sized_docs), weights, max_repeats, shard_words).drop(ROW)
+
+
+def _mixed(ordered: DataFrame, weights=WEIGHTS, max_repeats=MAX_REPEATS, shard_words=SHARD_WORDS) -> DataFrame:
+    specs = source_specs(ordered, weights, max_repeats)
     plan = shard_blocks(specs, shard_words)
     keyed = (
-        _in_order(sized_docs)
-        .join(
+        ordered.join(
             specs.select(
                 F.col("source").alias("__mix_s"),
                 F.struct("source_size", "target", "blocks", "passes", "edge", "cut").alias("__mix_spec"),
@@ -274,20 +308,19 @@ def mix(sized_docs: DataFrame, weights=WEIGHTS, max_repeats=MAX_REPEATS, shard_w
         taken.withColumn("__mix_position", F.row_number().over(shuffled))
         .withColumn("__mix_source_size", F.col("__mix_spec.source_size"))
         .withColumn("__mix_target", F.col("__mix_spec.target"))
-        .drop("__mix_spec", "__mix_s", "__mix_p", "__mix_b", SOURCE, HASH, BLOCK)
+        .drop("__mix_spec", "__mix_s", "__mix_p", "__mix_b", SOURCE, HASH, SAME, BLOCK)
     )
 
 
 def digests(sized_docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: what the mix takes of each row
-    (rows alike in doc_id, source and size are told apart by their number)."""
-    slim = settle(sized_docs.select("doc_id", F.col("source").cast("string").alias("source"), SIZE), "slim")
-    slim = settle(slim.withColumn("__mix_row", F.monotonically_increasing_id()), "rows")
-    taken = mix(slim).groupBy("__mix_row").agg(F.sum(SIZE).alias("taken"))
+    """doc_id, size, source_size, target, taken: what the mix takes of each row."""
+    slim = in_order(settle(sized_docs.select("doc_id", F.col("source").cast("string").alias("source"), SIZE), "slim"))
+    slim = settle(slim, "ordered")
+    taken = _mixed(slim).groupBy(ROW).agg(F.sum(SIZE).alias("taken"))
     specs = targets(slim.groupBy("source").agg(F.sum(SIZE).alias("source_size")))
     return (
         slim.alias("d")
-        .join(taken, "__mix_row", "left")
+        .join(taken, ROW, "left")
         .join(settle(specs, "specs").alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
         .select(
             "doc_id",

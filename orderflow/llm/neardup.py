@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, gram_hashes, mix64, rows_of, settle, text_bytes, word_hashes
+from orderflow.llm.shared import batched, gram_hashes, mix64, rows_of, settle, text_bytes, text_key, word_hashes, working_for
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9995, 6
 CHUNK = 256  # representatives in a chunk of a tile
@@ -76,26 +76,28 @@ def band_hashes(sets: list[np.ndarray], bands: int, rows: int = ROWS) -> np.ndar
 
 
 def signatures(docs: DataFrame, bands: int) -> DataFrame:
-    """doc_id, set_key (hash of the whole set; null if empty), n (its size), bands."""
+    """doc_id, text_key, set_key (hash of the whole set; null if empty), n (its size), bands."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))]
     )
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("neardup")
+
         def chunk(held):
-            full = [(d, s) for d, s in held if len(s)]
-            signed = band_hashes([s for _, s in full], bands).view(np.int64).tolist() if full else []
-            for (d, s), b in zip(full, signed, strict=True):
-                yield d, xxhash.xxh3_128_digest(s.tobytes()), len(s), b
-            for d, s in held:
+            full = [row for row in held if len(row[-1])]
+            signed = band_hashes([s for *_, s in full], bands).view(np.int64).tolist() if full else []
+            for (d, t, s), b in zip(full, signed, strict=True):
+                yield d, t, xxhash.xxh3_128_digest(s.tobytes()), len(s), b
+            for d, t, s in held:
                 if not len(s):
-                    yield d, None, 0, None
+                    yield d, t, None, 0, None
 
         def rows():
             held, size = [], 0
-            for doc, text in rows_of(batches, "doc_id", "text"):
-                held.append((doc, shingles(text)))
-                size += len(held[-1][1])
+            for doc, key, text in rows_of(batches, "doc_id", "text_key", "text"):
+                held.append((doc, key, shingles(text)))
+                size += len(held[-1][-1])
                 if size > 100_000:
                     yield from chunk(held)
                     held, size = [], 0
@@ -103,7 +105,7 @@ def signatures(docs: DataFrame, bands: int) -> DataFrame:
 
         yield from batched(rows(), schema, 1024)
 
-    return docs.mapInArrow(sign, "doc_id long, set_key binary, n long, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, text_key binary, set_key binary, n long, bands array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -205,7 +207,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     """doc_id, copy_of (smallest doc_id with the same shingles), n_links (how many
     other sets its own is similar to) and class_id (smallest doc_id of all that
     are linked, through others too); a row for each row of ``docs``."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).where("doc_id is not null")
+    return classes_of(docs, threshold, recall).drop("text_key", "class_key")
+
+
+def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """As ``join``, with text_key (of the row's text) and class_key (the class's
+    own; null for texts without words)."""
+    own = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), text_bytes().alias("text")
+    ).where("doc_id is not null")
     signed = settle(signatures(own, band_count(threshold, ROWS, recall)), "signed")
     heads = settle(
         signed.where("n > 0")
@@ -219,7 +229,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         "buckets",
     )
     together = components(met.join(buckets, ["band", "hash"]).select("a", F.col("set_key").alias("b")))
-    checked = settle(_checked(_tiles(own, heads, together), threshold), "checked")
+    checked = settle(_checked(_tiles(own.drop("text_key"), heads, together), threshold), "checked")
 
     links = checked.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
     linked = components(checked.where("b is not null").select("a", "b")).join(links, "id")
@@ -230,10 +240,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         "sets_linked",
     )
     classes = settle(sets.groupBy("component").agg(F.min("copy_of").alias("class_id")), "classes")
-    sets = settle(sets.join(classes, "component").drop("component"), "sets_classed")
+    sets = settle(sets.join(classes, "component").withColumnRenamed("component", "class_key"), "sets_classed")
     alone = F.col("set_key").isNull()
-    return signed.select("doc_id", "set_key").join(sets, "set_key", "left").select(
+    return signed.select("doc_id", "text_key", "set_key").join(sets, "set_key", "left").select(
         "doc_id",
+        "text_key",
+        "class_key",
         F.when(alone, F.col("doc_id")).otherwise(F.col("copy_of")).alias("copy_of"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -330,7 +342,25 @@ def _checked(tiles: DataFrame, threshold: float) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its class; rows with a
-    null doc_id stay."""
-    gone = settle(join(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """One row of each class: of the rows with its smallest doc_id that with the
+    least key of its text, once if it stands there repeatedly. Rows are told apart
+    by doc_id and text, so a text of its own stays where its doc_id also stands on a
+    copy. Texts without words and rows with a null doc_id stay."""
+    pairs = settle(
+        classes_of(docs).where("class_key is not null").groupBy("class_key", "doc_id", "text_key").agg(F.count("*").alias("n")),
+        "pairs",
+    )
+    first = settle(pairs.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first")), "first")
+    told = settle(pairs.join(first, "class_key").withColumn("is_first", F.struct("doc_id", "text_key") == F.col("first")), "told")
+    key = lambda where: told.where(where).select(F.col("doc_id").alias("__near_doc"), F.col("text_key").alias("__near_text"))
+    same = (F.col("doc_id").cast("long") == F.col("__near_doc")) & (text_key() == F.col("__near_text"))
+    left = docs.join(key("not is_first"), same, "left_anti")
+    again = key("is_first and n > 1")
+    # Which of the rows alike in doc_id and text stays is up to their other columns.
+    others = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    once = (
+        left.join(again, same, "left_semi")
+        .groupBy(F.col("doc_id").alias("__near_doc"), text_key().alias("__near_text"))
+        .agg(F.min_by(F.struct(*docs.columns), others).alias("__near_row"))
+    )
+    return left.join(again, same, "left_anti").unionByName(once.select("__near_row.*"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -33,6 +34,11 @@ def text_bytes(column: str = "text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def text_key(column: str = "text"):
+    """128 bits that tell texts apart, null as empty."""
+    return F.unhex(F.md5(text_bytes(column)))
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The named columns of Arrow batches, row by row."""
     for batch in batches:
@@ -58,6 +64,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; else a worker holds on to the most
+    that any task of its life has needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
+_owner = ""
 _remembered: dict[str, Callable[[], None]] = {}
 
 
@@ -68,6 +84,11 @@ def working_for(owner: str, forget: Callable[[], None] | None = None) -> None:
     for other in [name for name in _remembered if name != owner]:
         _remembered.pop(other)()
         gc.collect()
+    global _owner
+    if owner != _owner:
+        _owner = owner
+        _hashes.clear()
+        give_back()
     if forget is not None:
         _remembered[owner] = forget
 

@@ -136,7 +136,8 @@ class Encoder:
 
     Byte-level BPE never merges across the pieces that its pattern cuts, and the
     pattern always cuts before a space that has a non-space on one side at
-    least; so the ids of a text are those of its parts, which repeat a lot.
+    least; so the ids of a text are those of its parts, which repeat a lot. A text
+    that holds a special string of the vocabulary is left to the library as a whole.
     Memory is bounded: two generations of remembered parts."""
 
     LIMIT = 500_000
@@ -148,9 +149,10 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
-        # Special strings in a text are ordinary text: the model alone sees them.
-        whole = Tokenizer.from_file(path)
+        self.whole = whole = Tokenizer.from_file(path)
         self.model, size = whole.model, whole.get_vocab_size()
+        # Strings that the library takes out of a text before it cuts it.
+        self.special = [t.content for t in whole.get_added_tokens_decoder().values()]
         cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # How the byte-level scheme writes each byte, asked from the library.
         written = {}
@@ -202,6 +204,8 @@ class Encoder:
         return b"".join([self.ids[t.id] for t in self.model.tokenize(text)])
 
     def __call__(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         parts = self.parts(text)
         known = list(map(self.new.get, parts))
         if None in known:

@@ -15,7 +15,7 @@ from orderflow.llm.contamination import contaminated, decontaminate, normal, que
 from orderflow.llm.queries import tokenizer
 from orderflow.session import shared_dir
 from tests.llm import brute
-from tests.llm.conftest import pairs, same_rows
+from tests.llm.conftest import PLAIN, pairs, same_rows
 
 
 @pytest.fixture(params=["documents", "hard"])
@@ -67,7 +67,6 @@ def test_token_files(spark, docs):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(tokenizer())
-    whole.encode_special_tokens = True
     expected = []
     for d, t in pairs(docs):
         ids = [*whole.encode(t or "", add_special_tokens=False).ids, 0]
@@ -93,10 +92,22 @@ def test_remembered_parts_encode_as_whole_texts(text):
     global _whole
     if "_whole" not in globals():
         _whole = Tokenizer.from_file(tokenizer())
-        _whole.encode_special_tokens = True
     assert _whole.encode(text, add_special_tokens=False).ids == _encoder(text).tolist()
 
 
+def test_special_strings_are_those_of_the_plain_call(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer())
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>", "<|endoftext", PLAIN]
+    rows = tokens.token_index(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), f"{shared_dir(spark)}/tokens", tokenizer()
+    ).collect()
+    for r in rows:
+        ids = [*whole.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(0, 300)), max_size=700), st.floats(0.01, 1))
 def test_blocks_round_trip(ids, share):
@@ -153,6 +164,23 @@ def test_mix_agrees_with_itself_and_shares_out_blocks_once(documents):
         assert places == list(range(1, len(places) + 1))
 
 
+@pytest.mark.parametrize("doc_id, alike", [(7, False), (None, False), (7, True)])
+def test_mix_where_rows_share_an_id(spark, doc_id, alike):
+    """One id for all rows of a source, or one row over and over: the words taken
+    still come near the target, and no row is taken too often."""
+    rows = [(doc_id, "a", " ".join(["w"] * (200 if alike else 200 + k % 3) + ([] if alike else [f"x{k}"]))) for k in range(300)]
+    rows += [(1000 + k, "b", "w " * 200) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    got = mixing.digests(mixing.sized(docs)).collect()
+    assert len(got) == 400
+    for target in {r.target for r in got}:
+        own = [r for r in got if r.target == target]
+        assert all(r.taken <= 3 * r["size"] for r in own)
+        assert abs(sum(r.taken for r in own) - target) <= max(r["size"] for r in own)
+    again = mixing.digests(mixing.sized(docs.repartition(3))).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 # 4
 def test_repeats(docs):
     rows = repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)).collect()
@@ -232,6 +260,26 @@ def test_near_in_one_large_group(spark):
     same_rows(got, brute.near(rows))
 
 
+def test_one_of_each_goes_by_rows(spark):
+    """A text of its own stays, whatever its id also stands on; one row of a
+    repeated one stays; rows without words or id stay."""
+    own = " ".join(f"own{k}" for k in range(40))
+    rows = [(1, PLAIN, "a"), (2, PLAIN, "b"), (2, own, "c"), (2, own, "d"), (3, None, "e"), (3, None, "e"), (None, PLAIN, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class_key string")
+    got = neardup.one_of_each(docs)
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    same_rows(left, [(1, PLAIN), (2, own), (3, None), (3, None), (None, PLAIN)])
+
+
+def test_one_of_each_on_hard_rows(hard):
+    left = pairs(neardup.one_of_each(hard))
+    classes = {c for _, _, _, c in brute.near([(d, t) for d, t in pairs(hard) if brute.words(t)])}
+    with_words = [d for d, t in left if d is not None and brute.words(t)]
+    assert sorted(with_words) == sorted(classes)
+    assert len([1 for d, t in left if d is None or not brute.words(t)]) == len([1 for d, t in pairs(hard) if d is None or not brute.words(t)])
+
+
 # 8
 def test_quality_counts(docs):
     rows = quality.judged(docs).collect()
@@ -315,6 +363,17 @@ def test_leaks_with_edits_and_in_long_texts(spark, benchmark):
     assert {r.doc_id for r in decontaminate(docs, benchmark).collect()} == {3, 4, None}
 
 
+def test_clean_texts_stay_where_their_id_is_on_a_leak(spark, benchmark):
+    text = max((r.text for r in benchmark.collect()), key=len)
+    docs = spark.createDataFrame([(1, text, 5), (1, PLAIN, 6), (1, PLAIN, 6)], "doc_id long, text string, text_key long")
+    assert sorted((r.text, r.text_key) for r in decontaminate(docs, benchmark).collect()) == [(PLAIN, 6)] * 2
+
+
+def test_nothing_to_clean(no_documents, documents, benchmark):
+    assert not contaminated(no_documents, benchmark).collect() and not decontaminate(no_documents, benchmark).collect()
+    assert decontaminate(documents, benchmark.limit(0)).count() == documents.count()
+
+
 def test_shards_of_items_together_find_what_one_does(documents, benchmark, monkeypatch):
     from orderflow.llm import contamination
 

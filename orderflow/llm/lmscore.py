@@ -3,17 +3,22 @@
 A text is its words in lower case (A-Z) and one end. Frequent words are symbols
 of their own, other words are spelled byte by byte; a Huffman code of the
 symbols turns a text into binary decisions, one per node of the code's tree. A
-decision is predicted from three contexts: the node; the node and the symbol
-before (hashed); the node and the two symbols before (hashed). The stretched
-predictions are combined by weights that a gate picks by how often the hashed
-contexts have been seen, and the mix is refined adaptively: a gain and an offset
-per document follow its own decisions, online, block by block. The sum of the
-decisions' log probabilities is that of the text.
-
-All learning documents teach: six sevenths by id, of which one learns the gated
-weights online and the rest fill the contexts. Counts of words are exact, by
-64-bit hash, over all of them. The model is of fixed size (documented bounds
-below), so that each task can hold it; what is counted grows with the corpus.
+decision is predicted from four hashed contexts that the corpus has filled: before
+a word the node alone, with the word before, the two before and the last but one;
+inside a spelled word the node with the last one, two, three and five letters. Two
+more predictors adapt within the text: what the text itself has shown of the node
+(and two letters), and of the node after the word before (or five letters). The
+stretched predictions are combined by weights that a gate picks by how often the
+contexts have been seen, and the mix is refined adaptively by a gain and an offset
+per text. A text's own predictors, gain and offset follow its decisions online, 64
+at a time. The sum of the decisions' log probabilities is that of the text.
+
+All learning documents teach: six sevenths by id. One of these folds learns the
+gated weights online, over contexts that the others have filled, and then fills the
+contexts, too. Words with symbols of their own also teach letters, each occurrence by
+a chance of one in the word's count. Counts of words are exact, by 64-bit hash, over
+all learning documents. The model is of fixed size (documented bounds below), so
+that each task can hold it; what is counted grows with the corpus.
 
 Nulls and the like: a null text is empty (one end, no words); a row with a null
 doc_id is held out; repeated rows are scored and learned from each; extra columns
@@ -33,15 +38,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, pack_planes, pack_sorted, rows_of, settle, text_bytes, unpack_planes, unpack_sorted
+from orderflow.llm.shared import batched, mix64, pack_planes, pack_sorted, rows_of, settle, text_bytes, unpack_planes, unpack_sorted
 from orderflow.llm.slices import cuts, documents, packed, slice_count
 
 FOLDS, HELD_OUT, MIXING = 7, 2, 6  # crc32(doc_id as text) mod 7
 DICTIONARY = 1 << 16  # words with symbols of their own
 TABLE_BITS = 22  # slots of each hashed context's table
 BLOCK_BITS = 16  # slots in a block that is sent
-BLOCK = 256  # decisions between refinements
-RATE, GAIN_RATE, OFFSET_RATE = 0.02, 0.02, 0.2
+BLOCK = 64  # decisions of a text between what it learns from them
+ORDER = 5  # letters of a spelled word that are looked back at
+CONTEXTS = 4  # of the corpus, in hashed tables
+START = (0.5, 0.4, 0.3, 0.2, 0.2, 0.3)  # weights at first, by context
+RATE, GAIN_RATE, OFFSET_RATE = 0.04, 0.0002, 0.002
 SYMBOLS_AT_ONCE = 150_000
 
 END_WORD, END_TEXT, FIRST_WORD = 256, 257, 258
@@ -49,6 +57,11 @@ END_HASH = 0x5BD1E9955BD1E995  # counts as the token "end"
 BUCKETS = 16  # of a doubling, in histograms of counts
 
 
+def folds_of(docs: DataFrame, *folds: int) -> DataFrame:
+    """The rows of the folds, as ``fold`` has them; a null doc_id is in none."""
+    return docs.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).isin(*folds))
+
+
 def fold(doc_id: int | None) -> int:
     return HELD_OUT if doc_id is None else zlib.crc32(str(doc_id).encode()) % FOLDS
 
@@ -192,6 +205,20 @@ class Coder:
 
     def __init__(self, keys: np.ndarray, frequency: np.ndarray):
         self.symbols, self.code = Symbols(keys), Code(frequency)
+        self.chance = 1 / np.maximum(frequency, 1)
+
+    def lessons(self, words: list[bytes], encoded: np.ndarray) -> list[np.ndarray]:
+        """Of a learning text, words with symbols to be spelled as well, so that the
+        model learns letters from more than rare words: each occurrence by a chance
+        of one in the word's count, drawn by a hash of the text and the place."""
+        known = np.flatnonzero(encoded >= FIRST_WORD)
+        if not len(known):
+            return []
+        seed = np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words)))
+        draw = (mix64(seed ^ known.astype(np.uint64)) >> np.uint64(11)) * 2.0**-53
+        drawn = draw < self.chance[encoded[known]]
+        number = np.flatnonzero([s >= 0 for s in map(self.symbols.__getitem__, words)]) if drawn.any() else known
+        return [np.append(np.frombuffer(words[k], np.uint8), END_WORD).astype(np.int32) for k in number[drawn].tolist()]
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         known = np.fromiter(map(self.symbols.__getitem__, words), np.int32, len(words))
@@ -213,31 +240,51 @@ class Coder:
         return out
 
     def decisions(self, texts: list[np.ndarray]):
-        """Slots of the three contexts, bits, and where each text's decisions begin."""
+        """Slots of the corpus's contexts, hashes of the text's own two, bits,
+        whether inside a spelled word, and where each text's decisions begin."""
         symbol = np.concatenate(texts)
         ends = np.cumsum([len(t) for t in texts])
-        before = np.empty_like(symbol)
-        before[1:] = symbol[:-1]
-        before[0], before[ends[:-1]] = END_TEXT, END_TEXT
-        second = np.empty_like(symbol)
-        second[1:] = before[:-1]
-        second[0], second[ends[:-1]] = END_TEXT, END_TEXT
+        place = np.arange(len(symbol)) - np.repeat(ends - [len(t) for t in texts], [len(t) for t in texts])
+        back = []
+        for k in range(1, ORDER + 1):
+            shifted = np.full_like(symbol, END_TEXT)
+            shifted[k:] = symbol[:-k]
+            back.append(np.where(place >= k, shifted, END_TEXT).astype(np.uint32))
+        inside = back[0] < END_WORD
+        # Inside a word: its last one, two, three and five letters, as far as it goes.
+        letters, at = [], np.zeros(len(symbol), np.uint32)
+        open_ = inside
+        for k in range(ORDER):
+            at = _mixed(at, np.where(open_, back[k], np.uint32(END_WORD)))
+            letters.append(at)
+            if k + 1 < ORDER:
+                open_ = open_ & (back[k + 1] < END_WORD)
+        # Before a word: nothing, the one before (the last letters of a spelled one),
+        # the two before, and the last but one.
+        spelled = back[0] == END_WORD
+        zero = np.zeros(len(symbol), np.uint32)
+        last = np.where(spelled, _mixed(_mixed(zero, back[1]), back[2]), back[0])
+        former = np.where(spelled, np.uint32(END_WORD), back[1])
+        one, two, skip = _mixed(zero + 1, last), _mixed(_mixed(zero + 2, last), former), _mixed(zero + 3, former)
+        contexts = [np.where(inside, x, y) for x, y in ((letters[0], zero), (letters[1], one), (letters[2], two), (letters[4], skip))]
+        own = [np.where(inside, letters[1], zero), np.where(inside, letters[4], one)]
         length = self.code.length[symbol]
         stop = np.cumsum(length, dtype=np.int64)
         at = np.arange(stop[-1]) + np.repeat(self.code.start[symbol] - (stop - length), length)
         node, bit = self.code.node[at], self.code.bit[at]
-        with np.errstate(over="ignore"):
-            one = (before.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
-            two = (one ^ (one >> np.uint32(15))) + (second.astype(np.uint32) + np.uint32(7)) * np.uint32(0x85EBCA6B)
-            salt = node.view(np.uint32) * np.uint32(0xC2B2AE35)
-            slots = [node]
-            for context in (one, two):
-                h = np.repeat(context ^ (context >> np.uint32(13)), length) ^ salt
-                h = (h ^ (h >> np.uint32(16))) * np.uint32(0x7FEB352D)
-                h = (h ^ (h >> np.uint32(15))) * np.uint32(0x846CA68B)
-                slots.append((h >> np.uint32(32 - TABLE_BITS)).view(np.int32))
+        salt = node.view(np.uint32)
+        spread = lambda c: _mixed(np.repeat(c, length), salt)
+        slots = [(spread(c) >> np.uint32(32 - TABLE_BITS)).view(np.int32) for c in contexts]
         begins = np.concatenate([[0], stop[ends - 1]])
-        return slots, bit, begins
+        return slots, [spread(c) for c in own], bit, np.repeat(inside, length), begins
+
+
+def _mixed(h: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """One more value into 32-bit hashes."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (value * np.uint32(0x9E3779B1) + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE35)
+        return h ^ (h >> np.uint32(13))
 
 
 # --- contexts and weights --------------------------------------------------
@@ -245,17 +292,26 @@ class Coder:
 _TABLE = pa.schema([("context", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
 
 
-def _texts(batches: Iterable[pa.RecordBatch], coder: Coder, folds: set[int]) -> Iterator[list[np.ndarray]]:
-    held, size = [], 0
-    for doc, text in rows_of(batches, "doc_id", "text"):
-        if fold(doc) in folds:
-            held.append(coder.encode(text.lower().split()))
-            size += len(held[-1])
-            if size > SYMBOLS_AT_ONCE:
-                yield held
-                held, size = [], 0
+def _texts(
+    batches: Iterable[pa.RecordBatch], coder: Coder, taught: bool = True
+) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
+    """Encoded texts, some at once, and (if ``taught``) their lessons."""
+    held, lessons, size = [], [], 0
+    for (text,) in rows_of(batches, "text"):
+        words = text.lower().split()
+        held.append(coder.encode(words))
+        if taught:
+            lessons += coder.lessons(words, held[-1])
+        size += len(held[-1])
+        if size > SYMBOLS_AT_ONCE:
+            yield held, lessons
+            held, lessons, size = [], [], 0
     if held:
-        yield held
+        yield held, lessons
+
+
+def table_sizes() -> list[int]:
+    return [1 << TABLE_BITS] * CONTEXTS
 
 
 def count_contexts(docs: DataFrame, sent) -> DataFrame:
@@ -263,13 +319,17 @@ def count_contexts(docs: DataFrame, sent) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = sent.value
-        tables = [np.zeros(2 * n, np.uint32) for n in (coder.code.nodes, 1 << TABLE_BITS, 1 << TABLE_BITS)]
+        tables = [np.zeros(2 * n, np.uint32) for n in table_sizes()]
         any_ = False
-        for texts in _texts(batches, coder, set(range(FOLDS)) - {HELD_OUT, MIXING}):
+        for texts, lessons in _texts(batches, coder):
             any_ = True
-            slots, bit, _ = coder.decisions(texts)
+            slots, _, bit, _, _ = coder.decisions(texts)
             for table, slot in zip(tables, slots, strict=True):
                 np.add.at(table, 2 * slot + bit, np.uint32(1))
+            if lessons:
+                slots, _, bit, inside, _ = coder.decisions(lessons)
+                for table, slot in zip(tables, slots, strict=True):
+                    np.add.at(table, (2 * slot + bit)[inside], np.uint32(1))
 
         def rows():
             for context, table in enumerate(tables if any_ else ()):
@@ -296,72 +356,111 @@ def _sum_block(key, frame):
     return pa.Table.from_pylist([row], schema=_LEARNED)
 
 
+def _summed(counts: DataFrame) -> list:
+    """The whole model: two bytes per slot of tables of fixed size."""
+    ddl = "context int, block int, stretch binary, seen binary"
+    return settle(counts.groupBy("context", "block").applyInArrow(_sum_block, ddl), "contexts").collect()
+
+
+class Own:
+    """What a text has shown of itself so far: bits by context, in a table of its
+    own size for each text, so that no text's score depends on others."""
+
+    LOGS = np.log(np.arange(256) + 0.4).astype(np.float32)
+
+    def __init__(self, hashes: np.ndarray, begins: np.ndarray):
+        size = np.diff(begins)
+        width = 1 << np.ceil(np.log2(np.maximum(2 * size, 2))).astype(np.int64)
+        start = np.cumsum(width) - width
+        self.slot = 2 * (np.repeat(start, size) + (hashes & np.repeat(width - 1, size)))
+        self.seen = np.zeros(2 * int(width.sum()), np.uint8)
+
+    def ask(self, place: np.ndarray):
+        """Stretched predictions, and how often seen (0 to 2)."""
+        slot = self.slot[place]
+        n0, n1 = self.seen[slot], self.seen[slot + 1]
+        return self.LOGS[n1] - self.LOGS[n0], np.minimum((n0.astype(np.int64) + n1 + 1) >> 1, 2)
+
+    def learn(self, place: np.ndarray, bit: np.ndarray) -> None:
+        slot = self.slot[place]
+        np.add.at(self.seen, slot + bit, np.uint8(1))
+        # Full counters are halved.
+        full = slot[np.maximum(self.seen[slot], self.seen[slot + 1]) > 180]
+        if len(full):
+            full = np.unique(full)
+            self.seen[full] >>= 1
+            self.seen[full + 1] >>= 1
+
+
 class Model:
     """The tables of the contexts and the gated weights."""
 
-    GATES = 64
+    LEVEL = np.array([0, 1, 2, 2, 3, 3, 3, 3], np.int64)  # of how often seen
+    GATES = 4 * 4 * 4 * 3 * 2
 
     def __init__(self, coder: Coder, blocks: list):
         self.coder = coder
-        sizes = (coder.code.nodes, 1 << TABLE_BITS, 1 << TABLE_BITS)
+        sizes = table_sizes()
         self.stretch = [np.zeros(n, np.int8) for n in sizes]
         self.seen = [np.zeros(n, np.uint8) for n in sizes]
         for b in blocks:
             part = slice(b.block << BLOCK_BITS, (b.block << BLOCK_BITS) + len(b.stretch))
             self.stretch[b.context][part] = np.frombuffer(b.stretch, np.int8)
             self.seen[b.context][part] = np.frombuffer(b.seen, np.uint8)
-        self.weights = np.tile(np.array([0.6, 0.4, 0.2], np.float32) / 8, (self.GATES, 1))
-
-    def inputs(self, texts: list[np.ndarray]):
-        slots, bit, begins = self.coder.decisions(texts)
-        x = [s[k] for s, k in zip(self.stretch, slots, strict=True)]
-        gate = self.seen[1][slots[1]] * np.uint8(8) + self.seen[2][slots[2]]
-        return x, gate, bit, begins
-
-    def learn(self, texts: list[np.ndarray]) -> int:
-        """Online: the weights follow the texts' decisions, stretch by stretch."""
-        x, gate, bit, _ = self.inputs(texts)
-        step = 8 * BLOCK
-        for start in range(0, len(bit), step):
-            part = slice(start, start + step)
-            g, own = gate[part], [k[part].astype(np.float32) for k in x]
-            z = sum(self.weights[g, k] * own[k] for k in range(3))
-            error = bit[part] - 1 / (1 + np.exp(-z))
-            times = np.maximum(np.bincount(g, minlength=self.GATES), 1)
-            for k in range(3):
-                slope = np.bincount(g, error * own[k], self.GATES) / times / 8
-                self.weights[:, k] += (RATE / 8 * slope).astype(np.float32)
-        return len(bit)
+        self.weights = np.tile(np.array(START, np.float32), (self.GATES, 1))
+
+    def learn(self, texts: list[np.ndarray], squares: np.ndarray) -> int:
+        """Online: the weights follow the texts' decisions, block by block, in steps
+        that shrink with ``squares``, the slopes met so far."""
+        return self._run(texts, squares)[1]
 
     def log2(self, texts: list[np.ndarray]) -> list[float]:
         """log2 probability of each text."""
-        x, gate, bit, begins = self.inputs(texts)
-        z = np.zeros(len(bit), np.float32)
-        for k in range(3):
-            z += self.weights[:, k][gate] * x[k]
+        return self._run(texts)[0]
+
+    def _run(self, texts: list[np.ndarray], squares: np.ndarray | None = None) -> tuple[list[float], int]:
+        """All texts side by side, a block of each at a time: predict the block,
+        then learn from it (the text's own contexts, its gain and offset)."""
+        slots, hashes, bit, inside, begins = self.coder.decisions(texts)
+        static = [s[k] for s, k in zip(self.stretch, slots, strict=True)]
+        level = [self.LEVEL[self.seen[k][slots[k]]] for k in range(1, CONTEXTS)]
+        gate = ((level[0] * 4 + level[1]) * 4 + level[2]) * 6 + inside * 3
+        del slots, level
+        own = [Own(h, begins) for h in hashes]
         sign = bit.astype(np.float32) * 2 - 1
         size = np.diff(begins)
         order = np.argsort(-size, kind="stable")
         begin, size = begins[:-1][order], size[order]
-        gain, offset, total = (np.full(len(size), v, np.float32) for v in (1, 0, 0))
-        total = total.astype(np.float64)
+        gain, offset = np.ones(len(size), np.float32), np.zeros(len(size), np.float32)
+        total = np.zeros(len(size))
         for at in range(0, int(size[0]), BLOCK):
             live = int(np.searchsorted(-size, -at, "left"))
             n = np.minimum(size[:live] - at, BLOCK)
             stop = np.cumsum(n)
-            place = np.arange(stop[-1]) + np.repeat(begin[:live] + at - (stop - n), n)
-            own, s = z[place], sign[place]
+            first = stop - n
+            place = np.arange(stop[-1]) + np.repeat(begin[:live] + at - first, n)
+            asked = [o.ask(place) for o in own]
+            g = gate[place] + asked[-1][1]
+            x = [*(k[place] * np.float32(0.125) for k in static), *(k for k, _ in asked)]
+            z = sum(w * k for w, k in zip(self.weights[g].T, x, strict=True))
+            s = sign[place]
             # log sigmoid of the refined logit, on the side that came
-            y = s * (np.repeat(gain[:live], n) * own + np.repeat(offset[:live], n))
+            y = s * (np.repeat(gain[:live], n) * z + np.repeat(offset[:live], n))
             e = np.exp(-np.abs(y))
-            first = stop - n
             total[:live] += np.add.reduceat(np.minimum(y, 0) - np.log1p(e), first)
             error = s * np.where(y > 0, e, 1) / (1 + e)
-            offset[:live] += OFFSET_RATE / BLOCK * np.add.reduceat(error, first)
-            gain[:live] += GAIN_RATE / BLOCK * np.add.reduceat(error * own, first)
+            offset[:live] += OFFSET_RATE * np.add.reduceat(error, first)
+            gain[:live] = np.clip(gain[:live] + GAIN_RATE * np.add.reduceat(error * z, first), 0.5, 2)
+            for o in own:
+                o.learn(place, bit[place])
+            if squares is not None:
+                plain = s / (1 + np.exp(np.clip(s * z, -30, 30)))
+                slope = np.stack([np.bincount(g, plain * k, self.GATES) for k in x], 1)
+                squares += slope * slope
+                self.weights += (RATE * slope / np.sqrt(squares + 1e-6)).astype(np.float32)
         out = np.empty(len(size))
         out[order] = total / np.log(2)
-        return out.tolist()
+        return out.tolist(), len(bit)
 
 
 def learn_weights(docs: DataFrame, sent) -> np.ndarray:
@@ -370,8 +469,9 @@ def learn_weights(docs: DataFrame, sent) -> np.ndarray:
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = sent.value
         start, model, n = base.weights.copy(), base, 0
-        for texts in _texts(batches, model.coder, {MIXING}):
-            n += model.learn(texts)
+        squares = np.zeros(start.shape)
+        for texts, _ in _texts(batches, model.coder, False):
+            n += model.learn(texts, squares)
         learned, model.weights = model.weights, start
         if n:
             yield from batched([(learned.astype(np.float64).ravel().tolist(), n)], pa.schema([("w", pa.list_(pa.float64())), ("n", pa.int64())]))
@@ -482,10 +582,13 @@ def scores(docs: DataFrame) -> DataFrame:
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     sent = spark.sparkContext.broadcast(coder)
-    tables = count_contexts(own, sent).groupBy("context", "block").applyInArrow(_sum_block, "context int, block int, stretch binary, seen binary")
-    # The whole model: two bytes per slot of tables of fixed size.
-    model = Model(coder, settle(tables, "contexts").collect())
-    model.weights = learn_weights(own, spark.sparkContext.broadcast(model))
+    rest = [f for f in range(FOLDS) if f not in (HELD_OUT, MIXING)]
+    counts = settle(count_contexts(folds_of(own, *rest), sent), "counts_of_contexts")
+    model = Model(coder, _summed(counts))
+    weights = learn_weights(folds_of(own, MIXING), spark.sparkContext.broadcast(model))
+    # The documents that taught the weights now fill the contexts, too.
+    model = Model(coder, _summed(counts.unionByName(count_contexts(folds_of(own, MIXING), sent))))
+    model.weights = weights
     scorer = _scorer(spark.sparkContext.broadcast(model), total, distinct)
     answers = told.where("slice >= 0").select("slice", "shard", "counts")
     return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(scorer, _SCORED_DDL)

@@ -354,8 +354,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     told = settle(pairs.join(first, "class_key").withColumn("is_first", F.struct("doc_id", "text_key") == F.col("first")), "told")
     key = lambda where: told.where(where).select(F.col("doc_id").alias("__near_doc"), F.col("text_key").alias("__near_text"))
     same = (F.col("doc_id").cast("long") == F.col("__near_doc")) & (text_key() == F.col("__near_text"))
-    left = docs.join(key("not is_first"), same, "left_anti")
-    again = key("is_first and n > 1")
+    # Settled, so that their size is known: mostly few, they are sent to the texts.
+    left = docs.join(settle(key("not is_first"), "gone"), same, "left_anti")
+    again = settle(key("is_first and n > 1"), "again")
     # Which of the rows alike in doc_id and text stays is up to their other columns.
     others = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
     once = (

@@ -1,19 +1,24 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
-The base patterns find seeds. All identifier-like tokens (those with a digit or
-an @) become instances, their neighbouring words lexical patterns. Spark then
-scores the graph of patterns and instances in rounds: a pattern is as good for a
-kind as the share of its instances that are known to be of the kind, an instance
-is of a kind if its patterns say so together; sure ones are known in the next
-round. Instances that no base pattern finds, but the graph does, add spans.
+The base patterns find seeds. Secrets have seeds, too: long mixed runs of letters
+and digits. All identifier-like tokens (those with a digit or an @) become
+instances, their neighbouring words lexical patterns. Spark then scores the graph
+of patterns and instances in rounds: a pattern is as good for a kind as the share
+of its instances that are known to be of the kind, an instance is of a kind if
+its patterns say so together; sure ones are known in the next round. Instances
+that no base pattern finds, but the graph does, add spans. A seed of a secret is
+no proof (it may be a checksum): it adds a span only where a sure pattern of
+secrets holds it.
 
 Nulls and the like: a null text is empty, repeated rows and null doc_ids are kept
 row by row, extra columns are ignored, and a text of any length is searched in
-linear time. Spans are code points, end exclusive.
+linear time; an empty table gives no rows. A very long token is told apart by a
+digest. Spans are code points, end exclusive.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -24,10 +29,12 @@ from pyspark.sql import functions as F
 from orderflow.llm.shared import batched, rows_of, settle
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
+ALL_KINDS = (*KINDS, SECRET)
 ROUNDS = 3
 SUPPORT = 5  # known instances that a pattern must have
 SURE = 0.9  # score of a pattern that counts, and of an instance that it finds
-LONGEST = 80  # code points of an identifier
+LONGEST = 80  # code points of a name; a longer one goes by its digest
 
 # The fixed base patterns. A run of digits is only tried from its start: later
 # starts in it end alike.
@@ -38,6 +45,7 @@ _card = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _digit = re.compile(r"[0-9]")
 _token = re.compile(r"[^\x20\x09-\x0D]+")
+_secret = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_-]{32,}")
 _marks = "\"'()[]{}<>,;:!?.=*#$%&|"
 
 
@@ -81,11 +89,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def written(spans: Iterable[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+    return ",".join(f"{ALL_KINDS[k]}:{s}:{e}" for s, k, e in spans)
+
+
+def _name(token: str) -> str:
+    token = token.lower()
+    return token if len(token) <= LONGEST else "#" + hashlib.sha256(token.encode("utf-8", "replace")).hexdigest()
 
 
 def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple]:
-    """Identifier-like tokens: start, end, kind by the base (or None), the
+    """Identifier-like tokens: start, end, kind by base or seed (or None), the
     identifier in lower case, and its patterns. A base span is one instance."""
     if not spans and "@" not in text and not _digit.search(text):
         return
@@ -97,7 +110,7 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple]:
 
     def word(token: str) -> str:
         token = token.strip(_marks).lower()
-        return _digit.sub("0", token[:LONGEST])
+        return _name(_digit.sub("0", token))
 
     for m in _token.finditer(text):
         if m.end() <= free:
@@ -107,16 +120,16 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple]:
         waiting = []
         while span and span[0] < m.end():
             if span[2] > free:
-                waiting.append((span[0], span[2], KINDS[span[1]], text[span[0] : span[2]].lower(), before))
+                waiting.append((span[0], span[2], KINDS[span[1]], _name(text[span[0] : span[2]]), before))
             free = max(free, span[2])
             span = next(known)
         if free > m.start():
             before = (before[1], "_")
             continue
         own = m[0].strip(_marks)
-        if 4 <= len(own) <= LONGEST and ("@" in own or _digit.search(own)):
+        if len(own) >= 4 and ("@" in own or _digit.search(own)):
             start = m.start() + m[0].index(own)
-            waiting.append((start, start + len(own), None, own.lower(), before))
+            waiting.append((start, start + len(own), SECRET if _secret.fullmatch(own) else None, _name(own), before))
         before = (before[1], word(m[0]))
     for item in waiting:
         yield (*item[:4], patterns(item[4], ""))
@@ -153,7 +166,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def discovered(scanned: DataFrame) -> DataFrame:
-    """name, kind: identifiers that the rounds are sure of and the base never finds."""
+    """name, kind: identifiers that the rounds are sure of and the base never finds,
+    and the seeds of secrets that a sure pattern holds."""
     seen = scanned.select(F.explode("found").alias("i")).select("i.name", "i.kind", "i.patterns")
     edges = settle(
         seen.select("name", "kind", F.explode("patterns").alias("pattern"))
@@ -190,7 +204,8 @@ def discovered(scanned: DataFrame) -> DataFrame:
             .withColumn("by_base", F.lit(False))
         )
         known = settle(known.unionByName(new), f"known{k + 1}")
-    return known.where("not by_base").select("name", "kind")
+    held = edges.where(F.col("kind") == SECRET).join(patterns, ["pattern", "kind"], "left_semi").select("name", "kind").distinct()
+    return known.where("not by_base").select("name", "kind").unionByName(held)
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -198,9 +213,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     row for each row of the input."""
     scanned = settle(scan(docs), "scanned")
     new = settle(discovered(scanned), "new")
-    number = F.element_at(F.create_map(*[F.lit(x) for k, n in enumerate(KINDS) for x in (n, k)]), F.col("kind")).cast("long")
+    number = F.element_at(F.create_map(*[F.lit(x) for k, n in enumerate(ALL_KINDS) for x in (n, k)]), F.col("kind")).cast("long")
     more = (
-        scanned.select("row", F.explode(F.filter("found", lambda i: i["kind"].isNull())).alias("i"))
+        scanned.select("row", F.explode(F.filter("found", lambda i: i["kind"].isNull() | (i["kind"] == SECRET))).alias("i"))
         .select("row", "i.start", "i.end", "i.name")
         .join(new, "name")
         .groupBy("row")
@@ -214,11 +229,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def digests(found: DataFrame) -> DataFrame:
-    name = F.array(*map(F.lit, KINDS))
+    name = F.array(*map(F.lit, ALL_KINDS))
     joined = lambda c: F.array_join(
         F.transform(c, lambda s: F.concat_ws(":", F.get(name, s["kind"].cast("int")), s["start"], s["end"])), ","
     )
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return found.select(
-        "doc_id", *map(count, range(len(KINDS))), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans")
+        "doc_id", *map(count, range(len(KINDS))), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )

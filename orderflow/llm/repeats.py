@@ -4,10 +4,11 @@ A passage of 13 words that also starts in a document with a smaller doc_id is
 removed. First recurring passages are confirmed: slices of the corpus send the
 hashes of their windows, each with the smallest document that has it, and shards
 answer with those that recur and their first document overall. A slice then
-deals its documents into groups of bounded size; the recurring passages that a
-group holds are compiled into an Aho-Corasick automaton, and all documents of
-the group are streamed through it to locate every occurrence. Windows are judged
-on the input, not on what is left.
+deals its documents into groups of bounded size. Overlapping recurring windows of
+a document are joined into maximal passages; those that a group holds are
+compiled into an Aho-Corasick automaton, each as the fewest windows that cover
+it, and all documents of the group are streamed through it to locate every
+occurrence. Windows are judged on the input, not on what is left.
 
 Nulls and the like: a null text has no words; rows that share a doc_id are cut
 alike, as none is smaller; a row without a doc_id is left whole and makes no
@@ -145,6 +146,18 @@ def _groups(docs):
         yield group
 
 
+def _covering(starts: np.ndarray) -> np.ndarray:
+    """Of the starts of recurring windows the fewest whose windows still cover the
+    same words: of each run of neighbouring starts, every thirteenth and the last."""
+    if not len(starts):
+        return starts
+    new = np.append(True, np.diff(starts) > 1)
+    first = np.flatnonzero(new)
+    place = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
+    last = np.append(new[1:], True)
+    return starts[(place % WINDOW == 0) | last]
+
+
 def _cut(left, right):
     """Of a slice: per group of documents, compile the recurring passages that it
     holds and stream all its documents through them."""
@@ -162,7 +175,7 @@ def _cut(left, right):
                 continue
             own = _windows(words)
             at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            for start in np.flatnonzero((keys[at] == own) & (firsts[at] < doc)).tolist():
+            for start in _covering(np.flatnonzero((keys[at] == own) & (firsts[at] < doc))).tolist():
                 k = int(at[start])
                 if k not in phrases:
                     phrases[k] = (words[start : start + WINDOW], int(firsts[k]))

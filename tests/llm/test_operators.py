@@ -197,6 +197,16 @@ def test_automata_find_the_same_with_any_alphabet(monkeypatch):
     assert plain[:22].all() and not plain[22:40].any()
 
 
+def test_covering_windows_cover_the_same_words():
+    rng = np.random.default_rng(5)
+    for share in (0.02, 0.3, 0.9, 1.0):
+        starts = np.flatnonzero(rng.random(400) < share)
+        reach = lambda at: {w for s in at.tolist() for w in range(s, s + repeats.WINDOW)}
+        fewest = repeats._covering(starts)
+        assert reach(fewest) == reach(starts) and set(fewest.tolist()) <= set(starts.tolist())
+    assert len(repeats._covering(np.arange(400))) == 32 and not len(repeats._covering(np.arange(0)))
+
+
 def test_repeats_do_not_depend_on_the_groups(docs, monkeypatch):
     monkeypatch.setattr(repeats, "GROUP_WORDS", 50)
     rows = repeats.without_repeats(docs).withColumn("sha", F.sha2("kept", 256)).collect()
@@ -241,6 +251,21 @@ def test_unseen_identifiers_in_known_contexts(spark):
     assert found[101] == [] and len(found[3]) == 1
 
 
+def test_secrets_are_held_by_their_contexts(spark):
+    """A long mixed run counts where other secrets stand, and so does a short one
+    there; a checksum elsewhere does not."""
+    key = "0f3a9c1e5b7d2468ace013579bdf{:012x}"
+    rows = [(k, f'w{k} token = "{key.format(k)}" x{k}') for k in range(20)]
+    rows += [(50, 'see token = "hunter22" there'), (51, f"built from {key.format(99)} last night"), (52, "w" * 100 + "7 end")]
+    found = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert tuple(found[3][0]) == (12, 4, 52) and tuple(found[50][0]) == (13, 4, 21)
+    assert found[51] == [] and found[52] == []
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")  # the smaller table has under five secrets
+    digests = pii.digests(pii.personal_data(documents)).collect()
+    more = [r for r in digests if r.n_spans > r.n_email + r.n_ip + r.n_card + r.n_phone]
+    assert more and all("secret:" in r.spans for r in more)
+
+
 def test_long_tokens_take_linear_time():
     text = "a" * 300_000 + "@" + "1" * 300_000 + "@" + "+" * 1000
     assert pii.base_spans(text) == []

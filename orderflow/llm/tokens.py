@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, rows_of, settle, working_for
+from orderflow.llm.shared import batched, give_back, rows_of, settle, sliced, working_for
 
 BLOCK = 128
+BLOCKS_AT_ONCE = 2048  # packed together; bounds the arrays in between
 SHARE = 0.9
 END = 0
 MAGIC = b"PFR1"
@@ -72,6 +73,17 @@ def _unpacked(words: np.ndarray, width: int) -> np.ndarray:
 
 def pack(ids: np.ndarray, share: float = SHARE) -> tuple[np.ndarray, ...]:
     """Blocks of ids: heads, index, words, places and high bits."""
+    step = BLOCKS_AT_ONCE * BLOCK
+    runs = [_pack(ids[k : k + step], share) for k in range(0, max(1, len(ids)), step)]
+    heads, index, words, places, high = zip(*runs, strict=True)
+    start = np.zeros(2, "<u4")
+    for own, w, p in zip(index, words, places, strict=True):
+        own += start
+        start = start + np.array([len(w), len(p)], "<u4")
+    return tuple(map(np.concatenate, (heads, index, words, places, high)))
+
+
+def _pack(ids: np.ndarray, share: float) -> tuple[np.ndarray, ...]:
     count = -(-len(ids) // BLOCK)
     heads, index = np.zeros(count, HEAD), np.zeros((count, 2), "<u4")
     if not count:
@@ -237,8 +249,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = 1
 
     def files_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         working_for("tokens", forget_encoders)
+        give_back()  # what the task before has freed
         encode, end = encoder(tokenizer), np.array([END], "<u4")
-        held = [(d, np.concatenate([encode(t), end])) for d, t in rows_of(batches, "doc_id", "text")]
+        held = [(d, np.concatenate([encode(t), end])) for d, t in rows_of(sliced(batches), "doc_id", "text")]
         if held:
             yield from batched([(encode_file(held),)], pa.schema([("value", pa.binary())]))
 
@@ -267,6 +280,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("token files")  # encoders are not needed any more
+
         def rows():
             for file, content in rows_of(batches, "path", "content"):
                 table, ids = decode_file(content)

@@ -117,6 +117,18 @@ def test_blocks_round_trip(ids, share):
     assert tokens.unpack(*tokens.pack(ids, share), len(ids)).tolist() == ids.tolist()
 
 
+def test_blocks_packed_in_runs_are_those_packed_at_once(monkeypatch):
+    rng = np.random.default_rng(9)
+    ids = np.where(rng.random(5000) < 0.05, rng.integers(0, 50_000, 5000), rng.integers(0, 300, 5000)).astype(np.uint32)
+    whole = tokens.pack(ids)
+    monkeypatch.setattr(tokens, "BLOCKS_AT_ONCE", 3)
+    for part, own in zip(tokens.pack(ids), whole, strict=True):
+        assert part.dtype == own.dtype and part.tolist() == own.tolist()
+    assert tokens.unpack(*tokens.pack(ids), len(ids)).tolist() == ids.tolist()
+    for n in (0, 1, 384, 385):
+        assert tokens.unpack(*tokens.pack(ids[:n]), n).tolist() == ids[:n].tolist()
+
+
 # 3
 def _expected_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))

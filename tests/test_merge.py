@@ -5,6 +5,8 @@ import pytest
 from orderflow.operators import merge, staging
 from orderflow.plans.sample_tables import FIRST, SECOND, SampleTables
 from orderflow.schemas import ORDERS
+from orderflow.session import PACKING, settle_into
+from orderflow.sources.orders_table import no_orders
 from tests.conftest import SF_SMALL
 from tests.rows import TIME, bag, by_key, order_row, orders, source, source_row
 
@@ -189,3 +191,23 @@ def test_both_batches_in_one_load(spark, batches):
 def test_one_capture_over_the_whole_range(spark, batches):
     merged = merge.merge_orders(spark.createDataFrame([], ORDERS), batches["whole"])
     assert live(merged) == live(batches["orders_second"])
+
+
+def test_first_merge_moves_no_rows_of_the_source(spark, tmp_path):
+    """Into a table without rows nothing is joined; only the verdicts that matter
+    are written."""
+    steps = []
+
+    def settle(df, name):
+        steps.append(name)
+        return settle_into(str(tmp_path), PACKING)(df, name)
+
+    rows = [source_row(i, 10, batch=1) for i in range(1, 5)]
+    rows += [source_row(5, 10, op="D", batch=2), source_row(6, 10, batch=1), source_row(6, 11, batch=2)]
+    whole = settle_into(str(tmp_path))(source(spark, *rows), "source")
+    merged = merge.merge_orders(no_orders(spark), whole, merge.settle_first(settle))
+    assert steps == ["verdicts"]
+    told = spark.read.parquet(str(tmp_path / "verdicts")).collect()
+    assert {(r.salesorderid, r.mixed) for r in told} == {(5, False), (6, True)}
+    lines = {(r.salesorderid, r.productid, r.deleted_flg) for r in merged.collect()}
+    assert lines == {(1, 10, 0), (2, 10, 0), (3, 10, 0), (4, 10, 0), (5, None, 1), (6, 11, 0)}

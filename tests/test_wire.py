@@ -24,7 +24,7 @@ from orderflow.sources.stage import (
     sweep_unfinished,
     write_wire,
 )
-from tests.rows import dicts, wire
+from tests.rows import bag, dicts, wire
 
 # Three wire lines as older and newer writers leave them.
 GOOD = {
@@ -210,3 +210,14 @@ def test_assert_schema(spark):
     assert assert_schema(df, spark.createDataFrame([(1, "x")], "a long, b string").schema).columns == ["a", "b"]
     with pytest.raises(ValueError, match="mismatch"):
         assert_schema(df, STAGING)
+
+
+def test_lines_of_a_packed_stage(spark, tmp_path):
+    stage = Stage(str(tmp_path), "gzip")
+    write_wire(captured(spark), stage, 9)
+    files = list((tmp_path / "data/batch=9").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    plain = Stage(str(tmp_path / "plain"))
+    write_wire(captured(spark), plain, 9)
+    assert bag(read_wire(spark, stage, [9])) == bag(read_wire(spark, plain, [9]))
+    assert short_batches(spark, stage).collect() == []

@@ -369,6 +369,40 @@ def test_bigram_probabilities_are_those_of_modified_kneser_ney(spark):
             assert model.probabilities(code(a), code(b))[0] == pytest.approx(expected, rel=1e-4)
 
 
+def test_no_bigram_is_left_out_of_a_large_model(spark):
+    """2.2 million bigrams, nearly all of them seen once, against counts in numpy."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda k: F.pmod(F.xxhash64("doc_id", k), F.lit(20_000)).cast("string"))
+    texts = spark.range(2_200).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text"))
+    edge = 20_000
+    runs = [np.array([edge, *map(int, r.text.split()), edge]) for r in texts.orderBy("doc_id").collect()]
+    asked = [r[:-1] * (edge + 1) + r[1:] for r in runs]
+    keys, n = np.unique(np.concatenate(asked), return_counts=True)
+    assert len(keys) > 1 << 21
+    first, before = keys // (edge + 1), np.bincount(keys % (edge + 1))
+
+    def discount(counts):
+        c = [max(1, (counts == k).sum()) for k in range(1, 5)]
+        y = c[0] / (c[0] + 2 * c[1])
+        by = [k + 1 - (k + 2) * y * c[k + 1] / c[k] for k in range(3)]
+        return np.array([0, *(min(max(x, 0.05), k + 0.95) for k, x in enumerate(by))])[np.minimum(counts, 3)]
+
+    total = np.bincount(first, n)
+    back = np.bincount(first, discount(n)) / total
+    low = (before - discount(before)) / before.sum() + discount(before).sum() / before.sum() / (len(before) + 1)
+    p = (n - discount(n)) / total[first] + back[first] * low[keys % (edge + 1)]
+    expected = [np.log2(p[np.searchsorted(keys, a)]).mean() for a in asked]
+    got = [r.log2 for r in quality.judged(texts).orderBy("doc_id").collect()]
+    assert got == pytest.approx(expected, rel=1e-6)
+
+
+def test_sound_tells_rows_of_one_id_apart(spark):
+    """Ids that are null or repeat, texts that are null, and a column of its own."""
+    good = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, good, "a"), (1, "x x", "b"), (None, good, "c"), (None, "y", "d"), (2, None, "e"), (3, good, "f"), (3, good, "g")]
+    got = quality.sound(spark.createDataFrame(rows, "doc_id long, text string, slice string"))
+    assert sorted(r.slice for r in got.collect()) == ["a", "c", "f", "g"]
+
+
 # 10
 @pytest.fixture(scope="module")
 def benchmark(spark):

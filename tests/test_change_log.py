@@ -83,6 +83,14 @@ def test_retention_drops_whole_partitions_and_says_so(spark, at_rest):
     assert versions(at_rest.read(spark)) == list(range(90, 100))
 
 
+def test_retention_does_not_read_what_is_kept(spark, at_rest):
+    """Parts behind the first kept ones are not opened; here one cannot be."""
+    with open(f"{at_rest.root}/data/version_part=8/part-broken.parquet", "w") as file:
+        file.write("no Parquet")
+    assert at_rest.clean(spark, START + timedelta(days=20)) == 9
+    assert at_rest.parts(spark) == list(range(1, 10))
+
+
 def test_an_empty_log(spark, tmp_path):
     empty = ChangeLog(str(tmp_path / "none"))
     assert empty.current_version(spark) == 0 and empty.min_valid_version(spark) == 0

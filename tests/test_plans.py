@@ -190,3 +190,9 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
         total = summary.order_summary(orders(spark, *rows).repartition(parts)).first()
         assert total.productsales == 100.0
         assert total.productsalesvolume == 1_000
+
+
+def test_both_batches_are_computed_once_for_the_latest(spark):
+    """The rows are read twice: from the settled step, not from the tables again."""
+    read = QUERIES["latest_batch_per_order"](spark, SF_SMALL).inputFiles()
+    assert read and all("/both/" in f for f in read)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm.shared import batched, rows_of, settle, text_bytes, text_key, working_for
+from orderflow.llm.sieve import set_aside
 
 K1, B = 1.2, 0.75
 SHARE = 0.5  # of an item's own score
@@ -232,4 +233,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id also stands on one that goes."""
     bad = _found(docs, benchmark).select(F.col("doc_id").alias("__bad_doc"), F.col("text_key").alias("__bad_text"))
     bad = settle(bad.distinct(), "contaminated")
-    return docs.join(bad, (F.col("doc_id").cast("long") == F.col("__bad_doc")) & (text_key() == F.col("__bad_text")), "left_anti")
+    doc, key = F.col("doc_id").cast("long"), text_key()
+    some, others = set_aside(docs, F.xxhash64(doc, key), bad.select(F.xxhash64("__bad_doc", "__bad_text")))
+    return some.join(bad, (doc == F.col("__bad_doc")) & (key == F.col("__bad_text")), "left_anti").union(others)

@@ -27,11 +27,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.shared import batched, gram_hashes, mix64, rows_of, settle, text_bytes, text_key, word_hashes, working_for
+from orderflow.llm.shared import batched, gram_hashes, mix64, passing, rows_of, settle, text_bytes, text_key, word_hashes, working_for
+from orderflow.llm.sieve import among, set_aside, sieve
+from orderflow.session import Settle
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9995, 6
 CHUNK = 256  # representatives in a chunk of a tile
@@ -108,7 +109,7 @@ def signatures(docs: DataFrame, bands: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, text_key binary, set_key binary, n long, bands array<long>")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, settle: Settle = settle) -> DataFrame:
     """a, b (edges, both ways not needed) -> id, component (its smallest id), for
     all ids of an edge. Rounds of hooking each id to the smallest it sees, then
     of shortcuts; the forest shrinks to stars. Every round is settled."""
@@ -210,7 +211,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     return classes_of(docs, threshold, recall).drop("text_key", "class_key")
 
 
-def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, settle: Settle = settle) -> DataFrame:
     """As ``join``, with text_key (of the row's text) and class_key (the class's
     own; null for texts without words)."""
     own = docs.select(
@@ -228,11 +229,11 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         met.groupBy("band", "hash").agg(F.min("set_key").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "buckets",
     )
-    together = components(met.join(buckets, ["band", "hash"]).select("a", F.col("set_key").alias("b")))
-    checked = settle(_checked(_tiles(own.drop("text_key"), heads, together), threshold), "checked")
+    together = components(met.join(buckets, ["band", "hash"]).select("a", F.col("set_key").alias("b")), settle)
+    checked = settle(_checked(_tiles(own.drop("text_key"), heads, together, settle), threshold), "checked")
 
     links = checked.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
-    linked = components(checked.where("b is not null").select("a", "b")).join(links, "id")
+    linked = components(checked.where("b is not null").select("a", "b"), settle).join(links, "id")
     sets = settle(
         heads.select("set_key", "copy_of")
         .join(linked.withColumnRenamed("id", "set_key"), "set_key", "left")
@@ -252,50 +253,19 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     )
 
 
-SIEVE_BITS, SIEVE_PARTS = 1 << 25, 32  # 4 MB whatever the number of documents
-
-
-def _sieve_places(ids: np.ndarray) -> list[np.ndarray]:
-    h = mix64(ids.view(np.uint64))
-    return [h % np.uint64(SIEVE_BITS), (h >> np.uint64(32)) % np.uint64(SIEVE_BITS)]
-
-
 def sift(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id may be among ``ids`` (doc_id), and few
-    others: a Bloom filter of fixed size, built by the executors, so that texts
-    that nobody asks for are not shuffled."""
-    schema = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
-
-    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(SIEVE_BITS, bool)
-        for batch in batches:
-            for places in _sieve_places(batch.column("doc_id").to_numpy()):
-                bits[places] = True
-        if bits.any():
-            parts = np.packbits(bits).reshape(SIEVE_PARTS, -1)
-            yield from batched(((k, zstandard.compress(p.tobytes(), 1)) for k, p in enumerate(parts)), schema)
-
-    def unite(key, frame):
-        bits = np.bitwise_or.reduce([np.frombuffer(zstandard.decompress(b), np.uint8) for b in frame["bits"].to_pylist()])
-        return pa.Table.from_pylist([{"part": key[0].as_py(), "bits": bits.tobytes()}], schema=schema)
-
-    parts = ids.mapInArrow(build, "part int, bits binary").groupBy("part").applyInArrow(unite, "part int, bits binary").collect()
-    whole = b"".join(r.bits for r in sorted(parts, key=lambda r: r.part))
-    sent = docs.sparkSession.sparkContext.broadcast(whole)
+    others, so that texts that nobody asks for are not shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve(ids))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
-            hit = np.full(batch.num_rows, len(bits) > 0)
-            if len(bits):
-                for places in _sieve_places(batch.column("doc_id").to_numpy()):
-                    hit &= (bits[places >> np.uint64(3)] >> (np.uint64(7) - (places & np.uint64(7))).astype(np.uint8)) & 1 == 1
-            yield batch.filter(pa.array(hit))
+            yield batch.filter(pa.array(among(batch.column("doc_id").to_numpy(), sent.value)))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
-def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame) -> DataFrame:
+def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame, settle: Settle) -> DataFrame:
     """component, i, j, chunk, id, bands, set: the sets of each tile. A component
     of m members has m / CHUNK chunks, by a hash, and a tile for each two."""
     sizes = settle(together.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "sizes")
@@ -346,22 +316,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     least key of its text, once if it stands there repeatedly. Rows are told apart
     by doc_id and text, so a text of its own stays where its doc_id also stands on a
     copy. Texts without words and rows with a null doc_id stay."""
-    pairs = settle(
-        classes_of(docs).where("class_key is not null").groupBy("class_key", "doc_id", "text_key").agg(F.count("*").alias("n")),
-        "pairs",
-    )
-    first = settle(pairs.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first")), "first")
-    told = settle(pairs.join(first, "class_key").withColumn("is_first", F.struct("doc_id", "text_key") == F.col("first")), "told")
-    key = lambda where: told.where(where).select(F.col("doc_id").alias("__near_doc"), F.col("text_key").alias("__near_text"))
-    same = (F.col("doc_id").cast("long") == F.col("__near_doc")) & (text_key() == F.col("__near_text"))
-    # Settled, so that their size is known: mostly few, they are sent to the texts.
-    left = docs.join(settle(key("not is_first"), "gone"), same, "left_anti")
-    again = settle(key("is_first and n > 1"), "again")
+    with passing(docs.sparkSession) as step:
+        classes = classes_of(docs, settle=step).where("class_key is not null")
+        pairs = step(classes.groupBy("class_key", "doc_id", "text_key").agg(F.count("*").alias("n")), "pairs")
+        first = step(pairs.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first")), "first")
+        told = pairs.join(first, "class_key").withColumn("is_first", F.struct("doc_id", "text_key") == F.col("first"))
+        # Settled, so that its size is known: of most texts nothing is told.
+        told = told.where("not is_first or n > 1").select(
+            "is_first", F.col("doc_id").alias("__near_doc"), F.col("text_key").alias("__near_text")
+        )
+        told = settle(told, "told")
+    own = [F.col("doc_id").cast("long"), text_key()]
+    some, others = set_aside(docs, F.xxhash64(*own), told.select(F.xxhash64("__near_doc", "__near_text")))
+    same = (own[0] == F.col("__near_doc")) & (own[1] == F.col("__near_text"))
+    left = some.join(told.where("not is_first"), same, "left_anti")
+    again = told.where("is_first")
     # Which of the rows alike in doc_id and text stays is up to their other columns.
-    others = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    columns = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
     once = (
         left.join(again, same, "left_semi")
         .groupBy(F.col("doc_id").alias("__near_doc"), text_key().alias("__near_text"))
-        .agg(F.min_by(F.struct(*docs.columns), others).alias("__near_row"))
+        .agg(F.min_by(F.struct(*docs.columns), columns).alias("__near_row"))
     )
-    return left.join(again, same, "left_anti").unionByName(once.select("__near_row.*"))
+    return left.join(again, same, "left_anti").unionByName(once.select("__near_row.*")).unionByName(others)

@@ -15,7 +15,8 @@ order in which it asked: the count of each bigram, totals and counts of counts o
 each context. Words are answered likewise, by ranges of their hashes, with the
 number of distinct words before them. A slice then has the exact probability of
 each of its bigrams. The model as a whole is in no one place: no n-gram is left
-out, and the driver gets sums only.
+out, and the driver gets sums only. Shards, and slices at the end, take their turns,
+so that a part of what is shuffled lies on disk at once.
 
 Nulls and the like: a null text has no words, a null language is a language of
 its own, repeated rows are kept row by row and counted each, extra columns are
@@ -27,6 +28,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +58,11 @@ from orderflow.session import Settle
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
-TOKENS_AT_ONCE = 1_800_000  # of a slice
+TOKENS_AT_ONCE = 900_000  # of a slice
 MARGIN, LOWER_SHARE = 4.0, 0.1  # where the bands end
 SHORT = 8.0  # over the square root of the words: a short text's mean varies more
 SHARD_BYTES = 16 << 20  # text whose bigrams a shard should hold
+TURNS, TURN_SHARDS = 5, 6  # at most so many turns, of so many shards at least
 BITS = 48  # of a word's hash
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 PACKED = ["first", "sizes", "words", "second", "count"]
@@ -143,9 +146,10 @@ class Bigrams:
     and starts the other."""
 
     def __init__(self, run: bytes):
-        numbers = unpack_planes(run).astype(np.int64)
+        numbers = unpack_planes(run).view("<i8")
         self.words = int(numbers.max()) + 1
-        self.all = numbers[:-1] * self.words + numbers[1:]
+        self.all = numbers[:-1] * self.words
+        self.all += numbers[1:]
 
     def split(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the first and the second word."""
@@ -165,7 +169,8 @@ def cut_slices(docs: DataFrame) -> DataFrame:
             edge = np.array([EDGE])
             run = np.concatenate([edge, *(part for words in texts for part in (words, edge))])
             texts.clear()
-            words, run = np.unique(_short(run), return_inverse=True)
+            run >>= np.uint64(64 - BITS)
+            words, run = np.unique(run, return_inverse=True)
             table = pa.table(list(zip(*held, strict=True)), schema=own)
             return uuid.uuid4().bytes, size, pack_table(table), pack_sorted(words), pack_planes(run)
 
@@ -195,8 +200,10 @@ def _ranges(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(keys, [np.uint64((k << BITS) // shards) for k in range(1, shards)])
 
 
-def count_bigrams(slices: DataFrame, shards: int) -> DataFrame:
-    """shard, slice and the packed bigram counts of a slice by shard of the first word."""
+def count_bigrams(slices: DataFrame, shards: int, own: range | None = None) -> DataFrame:
+    """shard, slice and the packed bigram counts of a slice by shard of the first word,
+    of the shards ``own`` (or all)."""
+    own = range(shards) if own is None else own
     schema = pa.schema([("shard", pa.int32()), ("slice", pa.binary()), *((n, pa.binary()) for n in PACKED)])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +212,10 @@ def count_bigrams(slices: DataFrame, shards: int) -> DataFrame:
         def rows():
             for name, words, run in rows_of(sliced(batches, 1), "slice", "words", "run"):
                 bigrams, words = Bigrams(run), unpack_sorted(words)
-                keys, n = np.unique(bigrams.all, return_counts=True)
+                edges = [0, *_ranges(words, shards).tolist(), len(words)]
+                low, high = (edges[k] * bigrams.words for k in (own.start, own.stop))
+                keys = bigrams.all[(bigrams.all >= low) & (bigrams.all < high)]
+                keys, n = np.unique(keys, return_counts=True)
                 first, second = (words[k] for k in bigrams.split(keys))
                 cuts = _ranges(first, shards)
                 for k, (f, s, c) in enumerate(zip(*(np.split(x, cuts) for x in (first, second, n)), strict=True)):
@@ -264,12 +274,13 @@ def _few(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
 
 
-def count_words(merged: DataFrame, slices: DataFrame, shards: int) -> DataFrame:
-    """By range of the words a row for each slice: of each of its words before how
+def count_words(merged: DataFrame, slices: DataFrame, shards: int, own: range | None = None) -> DataFrame:
+    """By range of the words (of the ranges ``own``, or all) a row for each slice: of each of its words before how
     many distinct words it stands after (``before``). Besides a row without slice:
     all words of the range and theirs, how many there are, their sum, and how many
     of them are 1 to 4."""
     schema = pa.schema([("shard", pa.int32()), ("slice", pa.binary()), ("word", pa.binary()), ("before", pa.binary())])
+    own = range(shards) if own is None else own
 
     def told(batches):
         def rows():
@@ -277,7 +288,7 @@ def count_words(merged: DataFrame, slices: DataFrame, shards: int) -> DataFrame:
                 word, n = unpack_sorted(word), unpack_planes(n)
                 cuts = _ranges(word, shards)
                 for k, (w, c) in enumerate(zip(np.split(word, cuts), np.split(n, cuts), strict=True)):
-                    if len(w):
+                    if len(w) and k in own:
                         yield k, None, pack_sorted(w), pack_planes(c)
 
         yield from batched(rows(), schema, 64)
@@ -287,7 +298,7 @@ def count_words(merged: DataFrame, slices: DataFrame, shards: int) -> DataFrame:
             for name, words in rows_of(batches, "slice", "words"):
                 word = unpack_sorted(words)
                 for k, w in enumerate(np.split(word, _ranges(word, shards))):
-                    if len(w):
+                    if len(w) and k in own:
                         yield k, name, pack_sorted(w), None
 
         yield from batched(rows(), schema, 64)
@@ -422,6 +433,10 @@ def fit(docs: DataFrame) -> Model:
     return Model(merged.where("slice is null"), words, _shares(merged, words), shards)
 
 
+def _turns(shards: int) -> int:
+    return max(1, min(TURNS, shards // TURN_SHARDS))
+
+
 def _lang(docs: DataFrame) -> Column:
     return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
@@ -431,8 +446,12 @@ def score(docs: DataFrame, settle: Settle = settle) -> DataFrame:
     words), by the model of all rows."""
     slices = settle(cut_slices(docs), "slices")
     shards = _shards(slices)
-    merged = settle(merge_shards(count_bigrams(slices, shards)).drop(*PACKED), "bigrams")
-    words = settle(count_words(merged, slices, shards), "words")
+    turns = _turns(shards)
+    parts = [range(k * shards // turns, (k + 1) * shards // turns) for k in range(turns)]
+    merged = [settle(merge_shards(count_bigrams(slices, shards, own)).drop(*PACKED), f"bigrams_{k}") for k, own in enumerate(parts)]
+    merged = reduce(DataFrame.unionByName, merged)
+    words = [settle(count_words(merged, slices, shards, own), f"words_{k}") for k, own in enumerate(parts)]
+    words = reduce(DataFrame.unionByName, words)
     shares = _shares(merged, words)
     none = lambda *names: [F.lit(None).cast("binary").alias(n) for n in names]
     rows = (
@@ -458,7 +477,9 @@ def score(docs: DataFrame, settle: Settle = settle) -> DataFrame:
         return table.append_column("log2", pa.array(logs, mask=sizes == 1))
 
     ddl = "doc_id long, lang string, text_key binary, " + ", ".join(f"{n} long" for n in COUNTS) + ", log2 double"
-    return rows.groupBy("slice").applyInArrow(measure, ddl)
+    turn = F.pmod(F.crc32("slice"), F.lit(turns))
+    scored = [settle(rows.where(turn == k).groupBy("slice").applyInArrow(measure, ddl), f"measured_{k}") for k in range(turns)]
+    return reduce(DataFrame.unionByName, scored)
 
 
 def bands(scored: DataFrame, margin: float = MARGIN) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orderflow.llm import lmscore, mixing, neardup, pii, quality, repeats, tokens
+from orderflow.llm import lmscore, mixing, neardup, pii, quality, repeats, shared, tokens
 from orderflow.llm.contamination import contaminated, decontaminate, normal, question_answer, runs
 from orderflow.llm.queries import tokenizer
 from orderflow.session import shared_dir
@@ -478,3 +479,30 @@ def test_hard_items(spark, hard):
 )
 def test_empty_tables(no_documents, operator):
     assert operator(no_documents).collect() == []
+
+
+def test_quality_in_turns_is_the_same(spark, documents, monkeypatch):
+    rows = documents.limit(300)
+    key = lambda df: sorted((r.doc_id, round(r.log2 or 0, 9)) for r in df.collect())
+    monkeypatch.setattr(quality, "TOKENS_AT_ONCE", 5_000)
+    monkeypatch.setattr(quality, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(quality, "TURNS", 1)
+    whole = key(quality.score(rows))
+    monkeypatch.setattr(quality, "TURNS", 3)
+    monkeypatch.setattr(quality, "TURN_SHARDS", 1)
+    assert key(quality.score(rows)) == whole
+
+
+def test_a_settled_step_leaves_no_shuffle_files(spark):
+    def files():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        names = env.blockManager().diskBlockManager().getAllFiles().mkString("|").split("|")
+        return {n for n in names if "/shuffle_" in n and n.endswith(".data")}
+
+    before = files()
+    step = shared.settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and step.count() == 7

@@ -221,23 +221,27 @@ def classes_of(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     heads = settle(
         signed.where("n > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("copy_of"), F.min_by("bands", "doc_id").alias("bands")),
+        .agg(F.min("doc_id").alias("copy_of"), F.min_by("bands", "doc_id").alias("bands"))
+        # Settled with its number: what meets below are longs, so Spark sums them up by
+        # hash and sorts no rows for it.
+        .withColumn("id", F.monotonically_increasing_id()),
         "heads",
     )
-    met = heads.select("set_key", F.posexplode("bands").alias("band", "hash"))
+    met = heads.select("id", F.posexplode("bands").alias("band", "hash"))
     buckets = settle(
-        met.groupBy("band", "hash").agg(F.min("set_key").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"),
+        met.groupBy("band", "hash").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "buckets",
     )
-    together = components(met.join(buckets, ["band", "hash"]).select("a", F.col("set_key").alias("b")), settle)
+    together = components(met.join(buckets, ["band", "hash"]).select("a", F.col("id").alias("b")), settle)
     checked = settle(_checked(_tiles(own.drop("text_key"), heads, together, settle), threshold), "checked")
 
     links = checked.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
     linked = components(checked.where("b is not null").select("a", "b"), settle).join(links, "id")
     sets = settle(
-        heads.select("set_key", "copy_of")
-        .join(linked.withColumnRenamed("id", "set_key"), "set_key", "left")
-        .withColumn("component", F.coalesce("component", "set_key")),
+        heads.select("set_key", "copy_of", "id")
+        .join(linked, "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+        .drop("id"),
         "sets_linked",
     )
     classes = settle(sets.groupBy("component").agg(F.min("copy_of").alias("class_id")), "classes")
@@ -275,7 +279,7 @@ def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame, settle: Settle
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         .select("id", "component", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
     )
-    asked = heads.join(together.select(F.col("id").alias("set_key")), "set_key")
+    asked = heads.join(together.select("id"), "id")
     asked = settle(asked, "asked")
     wanted = asked.select(F.col("copy_of").alias("doc_id")).distinct()
     texts = sift(own, wanted).join(wanted, "doc_id")
@@ -285,13 +289,13 @@ def _tiles(own: DataFrame, heads: DataFrame, together: DataFrame, settle: Settle
         sets = (shingles(t).tobytes() for (t,) in rows_of(batches, "text"))
         yield from batched(((xxhash.xxh3_128_digest(s), s) for s in sets), schema, 256)
 
-    sets = settle(texts.mapInArrow(cut, "set_key binary, set binary").join(asked.select("set_key", "bands"), "set_key"), "sets")
-    return chunked.join(sets.withColumnRenamed("set_key", "id"), "id")
+    sets = settle(texts.mapInArrow(cut, "set_key binary, set binary").join(asked.select("id", "set_key", "bands"), "set_key").drop("set_key"), "sets")
+    return chunked.join(sets, "id")
 
 
 def _checked(tiles: DataFrame, threshold: float) -> DataFrame:
     """a, b, n: a link of a tile's forest, or (b null) so many links of a."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def check(key, frame):
         # A repeated row of a document brings its set again.
@@ -308,7 +312,7 @@ def _checked(tiles: DataFrame, threshold: float) -> DataFrame:
         out = [{"a": i, "n": n} for i, n in zip(ids, links.tolist(), strict=True) if n]
         return pa.Table.from_pylist(out + [{"a": a, "b": b} for a, b in forest], schema=schema)
 
-    return tiles.groupBy("component", "i", "j").applyInArrow(check, "a binary, b binary, n long")
+    return tiles.groupBy("component", "i", "j").applyInArrow(check, "a long, b long, n long")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -506,3 +506,17 @@ def test_a_settled_step_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.2)
     assert not files() - before and step.count() == 7
+
+
+def test_near_duplicate_work_is_keyed_by_numbers(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text + " x"), (3, text), (4, "quite another text of some words here")]
+    seen = {}
+
+    def step(df, name):
+        seen[name] = df.columns, dict(df.dtypes)
+        return shared.settle(df, name)
+
+    got = neardup.classes_of(spark.createDataFrame(rows, "doc_id long, text string"), settle=step)
+    assert {r.doc_id: (r.copy_of, r.n_links, r.class_id) for r in got.collect()} == {1: (1, 1, 1), 2: (2, 1, 1), 3: (1, 1, 1), 4: (4, 0, 4)}
+    assert seen["forest"][1] == {"lo": "bigint", "hi": "bigint"} and seen["buckets"][1]["a"] == "bigint"

@@ -63,6 +63,35 @@ def test_symbol_probabilities_sum_to_one():
     assert abs(one.sum() - end.sum()) < 1e-3  # every symbol once, then the end
 
 
+def test_words_of_a_group_take_one_symbol_and_their_share():
+    """Of 3,000 words seen twice none is spelled; one that comes again goes by the text."""
+    names = [b"word%d" % k for k in range(3000)]
+    keys = np.fromiter(map(lmscore.xxhash.xxh3_64_intdigest, names), np.uint64)
+    counts, sums = np.full(3000, 2), np.zeros(64 * lmscore.BUCKETS, np.int64)
+    sums[lmscore.TWICE] = 6000
+    none = np.empty(0, np.uint64)
+    coder, leaf_sums = lmscore.coder_of(none, none.astype(np.int64), sums, np.ones(256, np.int64), lmscore.TWICE + 1, 6100)
+    ends = np.array([lmscore.END_HASH], np.uint64), np.array([100])
+    own = lmscore.Slice(coder, [*names, b"odd"], np.concatenate([ends[0], keys, keys[:1] + np.uint64(1)]), np.concatenate([ends[1], counts, [0]]), 3.0, leaf_sums)
+    (row,) = own.rows([(1, 20, np.array([1, 2, 1, 3001, 3001, 0]), 7)])
+    group = lmscore.FIRST_GROUP + 1
+    again, odd = lmscore.AGAIN + group, [*b"odd", lmscore.END_WORD]
+    assert lmscore.restored(row[7]).tolist() == [group, group, again, *odd, lmscore.AGAIN + lmscore.FIRST_GROUP, lmscore.END_TEXT]
+    assert row[2:4] == (6, 4)
+    assert abs(row[5] - (2 * np.log2(2 / 6000) + np.log2(1 / 2) + np.log2(1 / 4))) < 1e-9
+    assert abs(row[4] - (3 * np.log10(3) + np.log10(101) - 6 * 3.0)) < 1e-9
+
+
+def test_long_texts_take_few_rounds(monkeypatch):
+    rounds, ask = [], lmscore.Own.ask
+    monkeypatch.setattr(lmscore.Own, "ask", lambda self, place: rounds.append(1) or ask(self, place))
+    model = lmscore.Model(lmscore.Coder(np.empty(0, np.uint64), np.ones(258, np.int64)), [])
+    text = np.resize(np.arange(97, 123), 20_000)
+    alone = model.log2([text])
+    assert len(rounds) < 2 * 300  # two predictors; 2,500 blocks of 64
+    assert np.allclose(model.log2([text[:50], text, text[:7]])[1], alone)
+
+
 # 2
 def test_token_files(spark, docs):
     from tokenizers import Tokenizer

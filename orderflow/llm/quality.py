@@ -62,7 +62,8 @@ TOKENS_AT_ONCE = 900_000  # of a slice
 MARGIN, LOWER_SHARE = 4.0, 0.1  # where the bands end
 SHORT = 8.0  # over the square root of the words: a short text's mean varies more
 SHARD_BYTES = 16 << 20  # text whose bigrams a shard should hold
-TURNS, TURN_SHARDS = 5, 6  # at most so many turns, of so many shards at least
+TURNS, TURN_SHARDS = 6, 6  # at most so many turns, of so many shards at least
+LAST_TURNS = 24  # at most, of slices, when all answers lie beside them
 BITS = 48  # of a word's hash
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 PACKED = ["first", "sizes", "words", "second", "count"]
@@ -141,12 +142,28 @@ def _unpack(first: bytes, sizes: bytes, words: bytes, second: bytes, count: byte
     return np.repeat(unpack_sorted(first), sizes), unpack_sorted(words)[run], unpack_planes(count).astype(np.int64)
 
 
+def pack_run(numbers: np.ndarray, counts: np.ndarray) -> bytes:
+    """Words of a text by number, and how often each number comes. Frequent ones are
+    renumbered first, so that the upper planes pack well; the counts tell the order."""
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    head = pack_planes(counts)
+    return len(head).to_bytes(8, "little") + head + pack_planes(rank[numbers])
+
+
+def unpack_run(blob: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(blob[:8], "little")
+    counts = unpack_planes(blob[8:end]).view("<i8")
+    return np.argsort(-counts, kind="stable")[unpack_planes(blob[end:]).view("<i8")]
+
+
 class Bigrams:
     """The bigrams of a slice. One edge stands between two texts: it ends the one
     and starts the other."""
 
     def __init__(self, run: bytes):
-        numbers = unpack_planes(run).view("<i8")
+        numbers = unpack_run(run)
         self.words = int(numbers.max()) + 1
         self.all = numbers[:-1] * self.words
         self.all += numbers[1:]
@@ -170,9 +187,9 @@ def cut_slices(docs: DataFrame) -> DataFrame:
             run = np.concatenate([edge, *(part for words in texts for part in (words, edge))])
             texts.clear()
             run >>= np.uint64(64 - BITS)
-            words, run = np.unique(run, return_inverse=True)
+            words, run, counts = np.unique(run, return_inverse=True, return_counts=True)
             table = pa.table(list(zip(*held, strict=True)), schema=own)
-            return uuid.uuid4().bytes, size, pack_table(table), pack_sorted(words), pack_planes(run)
+            return uuid.uuid4().bytes, size, pack_table(table), pack_sorted(words), pack_run(run, counts)
 
         def rows():
             held, texts, size, tokens = [], [], 0, 0
@@ -477,8 +494,9 @@ def score(docs: DataFrame, settle: Settle = settle) -> DataFrame:
         return table.append_column("log2", pa.array(logs, mask=sizes == 1))
 
     ddl = "doc_id long, lang string, text_key binary, " + ", ".join(f"{n} long" for n in COUNTS) + ", log2 double"
-    turn = F.pmod(F.crc32("slice"), F.lit(turns))
-    scored = [settle(rows.where(turn == k).groupBy("slice").applyInArrow(measure, ddl), f"measured_{k}") for k in range(turns)]
+    last = min(turns * turns, LAST_TURNS)
+    turn = F.pmod(F.crc32("slice"), F.lit(last))
+    scored = [settle(rows.where(turn == k).groupBy("slice").applyInArrow(measure, ddl), f"measured_{k}") for k in range(last)]
     return reduce(DataFrame.unionByName, scored)
 
 

@@ -522,6 +522,24 @@ def test_quality_in_turns_is_the_same(spark, documents, monkeypatch):
     assert key(quality.score(rows)) == whole
 
 
+def test_runs_come_back_and_pack_by_frequency():
+    rng = np.random.default_rng(3)
+    words, run, counts = np.unique(rng.permutation(5000)[rng.zipf(1.3, 60_000) % 5000], return_inverse=True, return_counts=True)
+    blob = quality.pack_run(run, counts)
+    assert quality.unpack_run(blob).tolist() == run.tolist()
+    assert len(blob) < 0.9 * len(shared.pack_planes(run))
+
+
+def test_slices_take_more_turns_than_shards(spark, documents, monkeypatch):
+    """When all answers lie on disk a small part of them is shuffled at once."""
+    names = []
+    monkeypatch.setattr(quality, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(quality, "TURNS", 3)
+    monkeypatch.setattr(quality, "TURN_SHARDS", 1)
+    quality.score(documents.limit(100), lambda df, name: names.append(name) or shared.settle(df, name)).count()
+    assert sum(n.startswith("bigrams") for n in names) == 3 and sum(n.startswith("measured") for n in names) == 9
+
+
 def test_a_settled_step_leaves_no_shuffle_files(spark):
     def files():
         env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()

@@ -152,9 +152,7 @@ class Encoder:
     that holds a special string of the vocabulary is left to the library as a whole.
     Memory is bounded: two generations of remembered parts."""
 
-    LIMIT = 500_000
-    SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
-    ASCII_SPACES = [c for c in SPACES if c < "\x80"]
+    LIMIT, BLANK_LIMIT = 500_000, 50_000
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -173,18 +171,17 @@ class Encoder:
         for c in map(chr, [*range(0x800, 0x10000, 0x40), *range(0x10000, 0x110000, 0x1000)]):
             if not 0xD800 <= ord(c) < 0xE000:
                 written.update(zip(c.encode(), cut.pre_tokenize_str(c)[0][0], strict=True))
-        self.written = written
+        self.written, self.blank = written, written[32]
+        self.plain = all(written[k] == chr(k) for k in range(33, 127))
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.blanks: dict[str, bytes] = {}  # parts that end with white space
         self.ids = [i.to_bytes(4, "little") for i in range(size)]
 
     def parts(self, text: str) -> list[str]:
         """The text, cut before spaces. A space between white space on both
         sides (or at the end) stays with what is before it."""
-        spaces = self.ASCII_SPACES if text.isascii() else self.SPACES
-        if "\0" not in text and not any(c + " " in text for c in spaces):
-            return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")
         parts = [first] if first else []
         for word in rest:
@@ -195,7 +192,7 @@ class Encoder:
         return parts
 
     def _part(self, part: str) -> bytes:
-        ids = self.new.get(part) or self.old.get(part)
+        ids = self.new.get(part) or self.old.get(part) or self.blanks.get(part)
         if ids is None:
             letters = part[1:] if part[:1] == " " else part
             if letters.isalpha():
@@ -206,24 +203,42 @@ class Encoder:
                 pieces = self.split(part)
                 ids = b"".join(map(self._part, pieces)) if len(pieces) > 1 else self._piece(part)
         if len(part) < 64:
+            if part[-1:].isspace():
+                if len(self.blanks) >= self.BLANK_LIMIT:
+                    self.blanks = {}
+                self.blanks[part] = ids
+                return ids
             if len(self.new) >= self.LIMIT:
                 self.old, self.new = self.new, {}
             self.new[part] = ids
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        text = piece.encode().decode("latin1").translate(self.written)
+        if self.plain and piece.isascii() and piece.isprintable():
+            text = piece.replace(" ", self.blank)
+        else:
+            text = piece.encode().decode("latin1").translate(self.written)
         return b"".join([self.ids[t.id] for t in self.model.tokenize(text)])
 
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
-        parts = self.parts(text)
+        if "\0" in text:
+            return self._joined(self.parts(text))
+        # Cut before every space. That is wrong only for a space with white space on both
+        # sides; parts that end with white space are never among the new ones.
+        parts = text.replace(" ", "\0 ").split("\0")
         known = list(map(self.new.get, parts))
-        if None in known:
-            known = [k if k is not None else self._part(p) for k, p in zip(known, parts, strict=True)]
+        for k in [k for k, ids in enumerate(known) if ids is None]:
+            part = parts[k]
+            if part[-1:].isspace() and k + 1 < len(parts) and not parts[k + 1][1:2].strip():
+                return self._joined(self.parts(text))
+            known[k] = self._part(part)
         return np.frombuffer(b"".join(known), "<u4")
 
+    def _joined(self, parts: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self._part, parts)), "<u4")
+
 
 _encoders: dict[str, Encoder] = {}
 

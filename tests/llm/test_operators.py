@@ -125,6 +125,22 @@ def test_remembered_parts_encode_as_whole_texts(text):
     assert _whole.encode(text, add_special_tokens=False).ids == _encoder(text).tolist()
 
 
+def test_parts_that_end_with_white_space_are_told_apart():
+    """Only a space with white space on both sides needs the slow way; the fast way
+    meets it, as no part that ends with white space is among the remembered ones."""
+    from tokenizers import Tokenizer
+
+    whole, own = Tokenizer.from_file(tokenizer()), tokens.Encoder(tokenizer())
+    slow, parts = [], own.parts
+    own.parts = lambda text: slow.append(text) or parts(text)
+    for text in ["a  b\n c\u00a0 d ", " a\tb", "", " ", "caf\u00e9 \u2014 na\u00efve."] * 2:
+        assert whole.encode(text, add_special_tokens=False).ids == own(text).tolist()
+    assert not slow
+    for text in ["a   b", "a\n \n b", "a  ", "\u3000 \u00e9 ", "x \u3000 \u3000"] * 2:
+        assert whole.encode(text, add_special_tokens=False).ids == own(text).tolist()
+    assert slow and not any(p[-1:].isspace() for p in own.new)
+
+
 def test_special_strings_are_those_of_the_plain_call(spark):
     from tokenizers import Tokenizer
 

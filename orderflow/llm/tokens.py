@@ -202,7 +202,7 @@ class Encoder:
             else:
                 pieces = self.split(part)
                 ids = b"".join(map(self._part, pieces)) if len(pieces) > 1 else self._piece(part)
-        if len(part) < 24:
+        if len(part) < 64:
             if part[-1:].isspace():
                 if len(self.blanks) >= self.BLANK_LIMIT:
                     self.blanks = {}
@@ -233,12 +233,7 @@ class Encoder:
             part = parts[k]
             if part[-1:].isspace() and k + 1 < len(parts) and not parts[k + 1][1:2].strip():
                 return self._joined(self.parts(text))
-            ids = self.old.get(part)
-            if ids is None:
-                ids = self._part(part)
-            elif len(self.new) < self.LIMIT:
-                self.new[part] = ids
-            known[k] = ids
+            known[k] = self._part(part)
         return np.frombuffer(b"".join(known), "<u4")
 
     def _joined(self, parts: list[str]) -> np.ndarray:

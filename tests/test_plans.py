@@ -56,6 +56,17 @@ def test_changed_key_range_reaches_the_scan(spark, tmp_path):
     assert "LessThanOrEqual(salesorderid,59)" in text
 
 
+def test_many_changed_orders_are_not_broadcast_however_small_their_file(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    frame = spark.range(1_000_000).withColumnRenamed("id", "salesorderid")
+    for orders, broadcast in ((300, True), (300_000, False)):
+        net = settle_into(str(tmp_path))(frame.limit(orders).withColumn("sys_change_op", F.lit("I")), f"net{orders}")
+        tables = SourceTables(frame, frame, frame, frame, frame).of_changes(net)
+        for table in (tables.header, tables.detail):
+            assert ("BroadcastHashJoin" in plan(table)) == broadcast
+            assert table.count() == orders
+
+
 def test_no_changes_no_rows(spark):
     frame = spark.range(5).withColumnRenamed("id", "salesorderid")
     tables = SourceTables(frame, frame, frame, frame, frame).of_changes(frame.where("false"))

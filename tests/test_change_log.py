@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import changes, ledger
+from orderflow.sources import change_log
 from orderflow.sources.change_log import ChangeLog
 from tests.rows import bag, log
 from tests.rows import ledger as jobs
@@ -91,6 +92,34 @@ def test_retention_does_not_read_what_is_kept(spark, at_rest):
     assert at_rest.parts(spark) == list(range(1, 10))
 
 
+def test_many_narrow_parts_share_folders_and_expire_by_part(spark, tmp_path, monkeypatch):
+    """30 parts of one change, one a day, of which at most eight folders are made."""
+    monkeypatch.setattr(change_log, "FOLDERS_AT_ONCE", 8, raising=False)
+    rows = spark.range(30).select(
+        (F.col("id") % 7).alias("salesorderid"),
+        F.col("id").alias("version"),
+        F.lit("U").alias("op"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))).alias("changed_at"),
+    )
+    narrow = ChangeLog(str(tmp_path / "narrow"), versions_per_part=1)
+    narrow.append(rows)
+    assert narrow.parts(spark) == list(range(0, 30, 4))
+    assert narrow.current_version(spark) == 29
+    assert versions(narrow.between(spark, 10, 17)) == list(range(11, 18))
+    mark = ledger.last_success_version(jobs(spark, (1, 0, 21, START, START)))
+    assert versions(narrow.after(mark)) == list(range(22, 30))
+    # The first that is kept is 13; the folder it shares with 12 stays.
+    assert narrow.clean(spark, START + timedelta(days=16)) == 12
+    assert narrow.parts(spark) == list(range(12, 30, 4))
+    assert versions(narrow.read(spark)) == list(range(13, 30))
+    # Later changes have folders of their own, beside one that reaches as far.
+    narrow.append(log(spark, (1, 29, "U"), (1, 31, "D")))
+    assert narrow.current_version(spark) == 31
+    assert versions(narrow.between(spark, 27)) == [28, 29, 29, 31]
+    assert narrow.clean(spark, START + timedelta(days=900)) == 29  # never the newest
+    assert narrow.parts(spark) == [31] and versions(narrow.read(spark)) == [31]
+
+
 def test_an_empty_log(spark, tmp_path):
     empty = ChangeLog(str(tmp_path / "none"))
     assert empty.current_version(spark) == 0 and empty.min_valid_version(spark) == 0

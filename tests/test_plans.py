@@ -110,6 +110,24 @@ def test_small_batch_shuffles_nothing_of_a_large_target(spark, tmp_path, conf):
     assert semi.group(1) == "BroadcastHashJoin"
 
 
+def test_many_incoming_orders_are_not_broadcast_however_small_their_file(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    written, steps = settle_into(str(tmp_path)), {}
+    row = source(spark, source_row(1, 5, 2, "D")).drop("salesorderid")
+    batch = row.crossJoin(spark.range(300_000).withColumnRenamed("id", "salesorderid"))
+    batch = written(batch.select(source(spark).columns), "batch")
+    lines = written(batch.drop("sys_change_op").withColumns({"src_cdt_batch_id": F.lit(1).cast("long"), "deleted_flg": F.lit(0)}), "target")
+
+    def settle(df, name):
+        steps[name] = plan(df)
+        return written(df, name)
+
+    merged = merge.merge_orders(lines.select(ORDERS.names), batch, settle)
+    for name, kind in (("standing", "LeftSemi"), ("changes", "Inner")):
+        assert re.search(rf"(\w+) \[salesorderid[^\n]*{kind}", steps[name]).group(1) == "SortMergeJoin", name
+    assert merged.where("deleted_flg = 1 and src_cdt_batch_id = 2").count() == merged.count() == 300_000
+
+
 @pytest.mark.parametrize("limit", ["-1", "10MB"])
 def test_capture_has_one_plan_at_any_size(spark, small_duck, tmp_path, conf, limit):
     """The same steps whatever may be broadcast; addresses are looked up for
